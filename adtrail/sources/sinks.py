@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtrail.sources.tables import select_existing
@@ -64,7 +65,7 @@ def append_partitioned(df: DataFrame, path: str, by: str, files_per_value: int =
     Rows of one value go to up to ``files_per_value`` tasks, so a day that
     holds a third of the rows is not written by a single task.
     """
-    spread = (F.rand(17) * files_per_value).cast("int")
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
     df.repartition(F.col(by), spread).write.mode("append").partitionBy(by).parquet(path)
 
 
@@ -145,8 +146,6 @@ def retained(df: DataFrame, created: str, as_of: date, days: int = 90) -> DataFr
 
 def retention_counts(tables: dict[str, tuple[DataFrame, str, int]], as_of: date, days: int = 90) -> DataFrame:
     """Rows kept and dropped per table; the third item adds days (logs stay 30 longer)."""
-    from functools import reduce
-
     lines = []
     for name, (df, created, extra) in tables.items():
         old = F.col(created) < F.lit(as_of - timedelta(days=days + extra))
