@@ -40,8 +40,8 @@ def order_ad_mapping(
     """One row per order line with a SKU whose order's ad ran on the order's day.
 
     Orders without an ad id, and ad ids without a record that day, drop out.
-    ``ad_spend`` repeats the ad-day's spend on every line; ``spend_once`` is
-    the part that sums to it: the line's share of the ad-day's mapped lines.
+    ``ad_spend`` repeats the ad-day's spend on every line; sums over it count
+    it once per line. Use ``spend_once`` for each ad-day counted once.
     """
     own = order_window(orders, window).select(
         "order_id", "order_name", "order_date",

@@ -46,17 +46,19 @@ def sku_attribution(attributed: DataFrame, lines: DataFrame, ads: DataFrame, las
         "order_id", "order_name", "order_date", "order_value", *AD_KEYS, "channel", "attribution_source", *UTM_COLUMNS
     )
     spend = ad_totals(ads).select(*AD_NAMES, "ad_spend")
-    rows = orders.join(sku_lines(lines, last_line), "order_id").join(spend, AD_NAMES, "left")
+    # Spend is looked up per order, before orders spread into SKUs. Orders without
+    # an ad keep out of it: their few shared names would crowd one partition.
     known_ad = F.col("ad_id").isNotNull()
-    return (
-        rows.withColumn("ad_spend", F.coalesce(F.when(known_ad, F.col("ad_spend")), F.lit(0)))
-        .withColumns(
-            {
-                "sku_profit_margin": safe_div("sku_profit", "sku_revenue", 100),
-                "sku_roas": safe_div("sku_revenue", "ad_spend"),
-                "sku_net_profit": F.col("sku_profit") - F.col("ad_spend"),
-            }
-        )
+    priced = orders.where(known_ad).join(spend, AD_NAMES, "left").unionByName(
+        orders.where(~known_ad), allowMissingColumns=True
+    )
+    rows = priced.withColumn("ad_spend", F.coalesce("ad_spend", F.lit(0))).join(sku_lines(lines, last_line), "order_id")
+    return rows.withColumns(
+        {
+            "sku_profit_margin": safe_div("sku_profit", "sku_revenue", 100),
+            "sku_roas": safe_div("sku_revenue", "ad_spend"),
+            "sku_net_profit": F.col("sku_profit") - F.col("ad_spend"),
+        }
     )
 
 
