@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -81,8 +82,8 @@ RULE_OUTPUTS = ["channel", "sub_channel", "channel_category", "platform"]
 
 
 def any_of(value: Column, words: list[str]) -> Column:
-    """True where the text contains one of the words."""
-    return reduce(lambda a, b: a | b, [value.contains(w) for w in words])
+    """True where the text contains one of the words (plain text, one pattern for all)."""
+    return value.rlike("|".join(re.escape(w) for w in words))
 
 
 def _clean(value) -> Column:
@@ -186,7 +187,7 @@ def ruled_channel(source, medium, campaign, content, rules=None) -> Column:
     for rule in sorted(rules, key=lambda r: -r[8]):
         fits = reduce(lambda a, b: a & b, [_pattern_fits(v, p) for v, p in zip(values, rule[:4])])
         result = F.struct(*[F.lit(v).alias(n) for v, n in zip(rule[4:8], RULE_OUTPUTS)])
-        chain = (chain or F).when(fits, result)
+        chain = (F if chain is None else chain).when(fits, result)
     return chain
 
 

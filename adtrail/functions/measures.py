@@ -69,5 +69,7 @@ def price_check(actual, price, units) -> Column:
     expected = price * units
     same = price.isNull() | (F.abs(actual - expected) < F.lit(1e-6))
     return F.when(same, "Matches").otherwise(
-        F.format_string("Mismatch (Actual: %.2f, Expected: %.2f)", actual, expected)
+        F.format_string(
+            "Mismatch (Actual: %.2f, Expected: %.2f)", actual.cast("double"), expected.cast("double")
+        )
     )

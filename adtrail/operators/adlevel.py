@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtrail.functions.measures import safe_div, total
-from adtrail.functions.text import non_empty
 from adtrail.operators.ads import AD_KEYS, AD_NAMES
 from adtrail.operators.attribution import UTM_COLUMNS
 from adtrail.operators.granular import first_filled
@@ -23,18 +22,37 @@ def _merged_keys(left: str, right: str, columns: list[str]):
     return [F.coalesce(F.col(f"{left}.{c}"), F.col(f"{right}.{c}")).alias(c) for c in columns]
 
 
-def ad_skus(attributed: DataFrame, lines: DataFrame, by: list[str]) -> DataFrame:
-    """Sorted distinct SKU list per ad, from (ad, SKU) pairs folded before they are listed."""
-    pairs = (
-        attributed.select("order_id", *by)
-        .join(lines.where(F.col("sku").isNotNull()).select("order_id", "sku"), "order_id")
-        .select(*by, "sku")
-        .distinct()
+def _orders_by_ad(attributed: DataFrame) -> DataFrame:
+    """Order measures and the sorted distinct SKU list per ad and channel, in one pass.
+
+    Orders spread into their SKUs; the first SKU carries the order's measures.
+    Rows fold to (ad, SKU) first, so the list step sees each SKU once.
+    """
+    by = [*AD_KEYS, "channel"]
+    sums = ["orders", "attributed_orders", "total_sales", "total_cogs", "total_unique_skus", "total_sku_quantity"]
+    spread = attributed.where(F.col("campaign_name").isNotNull()).select(
+        *by, "is_attributed", "order_value", "total_cogs", "unique_skus_count", "total_sku_quantity",
+        F.posexplode_outer(F.split("skus", ", ")).alias("_pos", "sku"),
+    )
+    first = F.coalesce(F.col("_pos") == 0, F.lit(True))
+    once = lambda value: F.sum(F.when(first, value).otherwise(F.lit(0)))
+    pairs = spread.groupBy(*by, "sku").agg(
+        F.min("is_attributed").alias("attributed"),
+        once(F.lit(1)).alias("orders"),
+        once(F.col("is_attributed").cast("int")).alias("attributed_orders"),
+        once(F.col("order_value")).alias("total_sales"),
+        once(F.col("total_cogs")).alias("total_cogs"),
+        once(F.col("unique_skus_count")).alias("total_unique_skus"),
+        once(F.col("total_sku_quantity")).alias("total_sku_quantity"),
+    )
+    return pairs.groupBy(*by).agg(
+        F.min("attributed").alias("attributed"),
+        *[F.sum(c).alias(c) for c in sums],
+        F.array_join(F.sort_array(F.collect_list("sku")), ", ").alias("all_skus"),
     )
-    return pairs.groupBy(*by).agg(F.array_join(F.sort_array(F.collect_list("sku")), ", ").alias("all_skus"))
 
 
-def ad_level_summary(attributed: DataFrame, daily: DataFrame, lines: DataFrame) -> DataFrame:
+def ad_level_summary(attributed: DataFrame, daily: DataFrame) -> DataFrame:
     """One row per ad and channel: orders, sales, spend, profit and rates.
 
     Ads without orders stay, with channel 'Unknown' and attributed true.
@@ -42,21 +60,7 @@ def ad_level_summary(attributed: DataFrame, daily: DataFrame, lines: DataFrame)
     repeats for each of its channels; ``spend_once`` carries it on one row
     (most sales, then channel name), so totals are taken from there.
     """
-    by = [*AD_KEYS, "channel"]
-    known = attributed.where(F.col("campaign_name").isNotNull())
-    orders = known.groupBy(*by).agg(
-        F.min("is_attributed").alias("attributed"),
-        F.count(F.lit(1)).alias("orders"),
-        F.count_if("is_attributed").alias("attributed_orders"),
-        total("order_value").alias("total_sales"),
-        total("total_cogs").alias("total_cogs"),
-        total("unique_skus_count").alias("total_unique_skus"),
-        total("total_sku_quantity").alias("total_sku_quantity"),
-    )
-    skus = ad_skus(known, lines, by)
-    orders = (
-        orders.alias("o").join(skus.alias("s"), _same("o", "s", by), "left").select("o.*", "s.all_skus")
-    )
+    orders = _orders_by_ad(attributed)
     ads = daily.groupBy(*AD_KEYS).agg(*[F.sum(c).alias(c) for c in ("impressions", "clicks", "spend")])
     joined = (
         ads.alias("a")

@@ -17,22 +17,28 @@ NAMED_UNKNOWN = ["Meta", "Google", "Organic"]
 UTM_COLUMNS = [f"utm_{f}" for f in UTM_FIELDS]
 
 
+def evaluate_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that later filters and projections read instead of working them out again.
+
+    Catalyst copies a projected expression into every filter it pushes below
+    the projection; for parsed JSON that means parsing a row dozens of times.
+    A generator's output is never copied, so a one-row ``inline`` keeps each
+    expression in one place. Filters on the other columns still go below it.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def with_touch(orders: DataFrame) -> DataFrame:
     """Add attribution source, id, type, UTM fields and the first channel guess."""
     touch, label = touch_cascade()
-    return (
-        orders.withColumns({"_touch": touch, "attribution_source": label})
-        .withColumns(
-            {
-                **{f"utm_{f}": F.col(f"_touch.{f}") for f in UTM_FIELDS},
-                "attribution_id": F.col("_touch.attribution_id"),
-                "attribution_type": F.col("_touch.attribution_type"),
-            }
-        )
-        .drop("_touch")
-        .withColumn("is_attributed", F.col("attribution_source").isNotNull())
-        .withColumn("channel", channel_of(*UTM_COLUMNS))
+    parsed = evaluate_once(orders, {"_touch": touch, "attribution_source": label})
+    spread = parsed.select(
+        *orders.columns, "attribution_source",
+        *[F.col(f"_touch.{f}").alias(f"utm_{f}") for f in UTM_FIELDS],
+        "_touch.attribution_id", "_touch.attribution_type",
+        F.col("attribution_source").isNotNull().alias("is_attributed"),
     )
+    return evaluate_once(spread, {"channel": channel_of(*UTM_COLUMNS)})
 
 
 def settle_channel(
@@ -77,9 +83,11 @@ def with_channels(orders: DataFrame) -> DataFrame:
     A known campaign name needs an attribution, so these channels equal those
     of ``attribute`` and reports by channel need no join with ads.
     """
-    settled = with_touch(orders).withColumn("channel", settle_channel()).withColumn("first_channel", F.col("channel"))
+    settled = with_touch(orders).withColumn("first_channel", settle_channel()).drop("channel")
+    settled = settled.withColumn("channel", F.col("first_channel"))
     paid = F.col("channel").isin(PAID_CHANNELS) | direct_with_campaign(False)
-    return settled.withColumn("is_paid_channel", paid).withColumn("channel", reclassified(False))
+    final = evaluate_once(settled, {"_final": reclassified(False), "is_paid_channel": paid})
+    return final.withColumn("channel", F.col("_final")).drop("_final")
 
 
 def unknown_name(level: str, channel: Column) -> Column:

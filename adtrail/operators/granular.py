@@ -62,14 +62,13 @@ def order_ids_by_hour(attributed: DataFrame, per_row: int = 10_000) -> DataFrame
     A key may hold any share of all orders, so its list is dealt by hash over
     ``parts`` rows; keys within ``per_row`` have their whole list in part 0.
     """
-    keyed = keyed_orders(attributed).select(*HOUR_KEY, "order_id")
+    keyed = keyed_orders(attributed).select(*HOUR_KEY, "order_id").alias("k")
     sizes = keyed.groupBy(*HOUR_KEY).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(per_row)).cast("int").alias("parts")
-    )
-    same = reduce(lambda a, b: a & b, [keyed[c].eqNullSafe(sizes[c]) for c in HOUR_KEY])
+    ).alias("s")
+    same = reduce(lambda a, b: a & b, [F.col(f"k.{c}").eqNullSafe(F.col(f"s.{c}")) for c in HOUR_KEY])
     dealt = keyed.join(sizes, same).select(
-        *[keyed[c] for c in HOUR_KEY], "order_id", "parts",
-        F.pmod(F.xxhash64("order_id"), F.col("parts")).cast("int").alias("part"),
+        "k.*", "parts", F.pmod(F.xxhash64("order_id"), F.col("parts")).cast("int").alias("part")
     )
     return dealt.groupBy(*HOUR_KEY, "parts", "part").agg(
         F.array_join(F.sort_array(F.collect_set("order_id")), ", ").alias("order_ids")

@@ -84,8 +84,8 @@ def hierarchy(ad_sku: DataFrame, ad_totals_by_name: DataFrame) -> DataFrame:
     rows = ad_sku.join(ads, AD_NAMES, "left").withColumns(
         {c: F.coalesce(c, F.lit(0)) for c in ("ad_impressions", "ad_clicks", "ad_spend")}
     )
-    lowest = ad_sku.groupBy(*AD_NAMES).agg(F.min("sku").alias("_first_sku"))
-    rows = rows.join(lowest, AD_NAMES)
+    # An ad's rows here are its distinct SKUs, bounded by the catalogue.
+    rows = rows.withColumn("_first_sku", F.min("sku").over(Window.partitionBy(*AD_NAMES)))
     first = F.col("sku") == F.col("_first_sku")
     rows = rows.withColumns(
         {f"{c}_once": F.when(first, F.col(c)).otherwise(F.lit(0)) for c in ("ad_spend", "ad_clicks", "ad_impressions")}

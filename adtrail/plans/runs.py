@@ -10,7 +10,6 @@ from adtrail.operators import ads as ad_ops
 from adtrail.operators import granular, mapping, reports, utm
 from adtrail.operators.adlevel import ad_level_summary
 from adtrail.operators.attribution import attribute
-from adtrail.operators.orders import priced_lines
 from adtrail.plans import mapping_views, utm_views, warehouse
 from adtrail.sources import sinks
 from adtrail.sources.tables import DateWindow, ads_window
@@ -39,9 +38,8 @@ def attribution_run(store: Store, window: DateWindow, out: str, batch_id: str) -
     stored = spark.read.schema(attributed.schema).parquet(raw)
     ads = ads_window(store.ads, window)
     daily = ad_ops.daily_ads(ads)
-    lines = priced_lines(store.line_items, store.variants)
     hours = granular.granular_insights(stored, ads)
-    ad_level = ad_level_summary(stored, daily, lines)
+    ad_level = ad_level_summary(stored, daily)
     sinks.granular_export(hours.drop("hourly_window")).write.mode("overwrite").partitionBy("date_start").parquet(
         f"{out}/granular/batch_id={batch_id}"
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtrail.functions.measures import half_up, safe_div
+from adtrail.functions.measures import safe_div
 from adtrail.functions.text import hour_label
 from adtrail.plans.runs import Store
 
@@ -106,80 +106,70 @@ def ads_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_ad_keys(rated).drop("_hour", "k")
 
 
-def _cases() -> Column:
-    struct = lambda case: F.struct(*[F.lit(v).cast("string").alias(f) for f, v in zip(FIELDS, case)])
-    return F.array(*[struct(c) for c in UTM_CASES])
+def _quoted(value: str | None) -> str:
+    return "cast(null as string)" if value is None else f"'{value}'"
 
 
-def _json_text(value: Column) -> Column:
-    return F.coalesce(F.concat(F.lit('"'), value, F.lit('"')), F.lit("null"))
+def _cases() -> str:
+    struct = lambda case: "struct(" + ", ".join(f"{_quoted(v)} as {f}" for f, v in zip(FIELDS, case)) + ")"
+    return "array(" + ", ".join(struct(c) for c in UTM_CASES) + ")"
 
 
-def _moment(utm: dict[str, Column]) -> Column:
-    inner = F.concat_ws(",", *[F.concat(F.lit(f'"{f}":'), _json_text(utm[f])) for f in FIELDS])
-    return F.concat(F.lit('{"utmParameters":{'), inner, F.lit("}}"))
+def _moment(value) -> str:
+    """JSON text of one journey moment; ``value`` gives the SQL of a field."""
+    fields = [f"""'"{f}":', coalesce(concat('"', {value(f)}, '"'), 'null')""" for f in FIELDS]
+    return """concat('{"utmParameters":{', """ + ", ',', ".join(fields) + ", '}}')"
 
 
-def _pair(key: str, value: Column) -> Column:
-    return F.concat(F.lit(f'{{"key":"{key}","value":"'), value, F.lit('"}'))
+def _pair(key: str, value: str) -> str:
+    return f"""concat('{{"key":"{key}","value":"', {value}, '"}}')"""
+
+
+def _ad(k: str) -> str:
+    return f"concat('1202213430908', {k} + 60000)"
+
+
+EARLIER = {"source": "'google'", "medium": "'organic'", "content": _ad("(_k + 1) % 120")}
 
 
 def orders(spark: SparkSession, sf_dir: str, geography: bool = False, referrers: bool = False) -> DataFrame:
-    key = F.col("o_orderkey")
-    base = table(spark, sf_dir, "orders")
-    k = F.pmod(F.floor(key / 7), F.lit(120)).cast("int")
-    case = F.element_at(_cases(), (F.col("o_custkey") % len(UTM_CASES) + 1).cast("int"))
-    rows = base.withColumns({"_k": k, "_case": case, "_path": key % 7})
-    filled = {}
-    for f in FIELDS:
-        value = F.col(f"_case.{f}")
-        filled[f] = (
-            F.when(value == "@ad", ad_id(F.col("_k")))
-            .when(value == "@adset", adset_id(F.col("_k")))
-            .when(value == "@campaign", campaign_id(F.col("_k")))
-            .otherwise(value)
-        )
-    rows = rows.withColumns({f"_{f}": c for f, c in filled.items()})
-    utm = {f: F.col(f"_{f}") for f in FIELDS}
-    nothing = F.lit(None).cast("string")
-    earlier = {
-        "source": F.lit("google"), "medium": F.lit("organic"), "campaign": nothing,
-        "content": ad_id((F.col("_k") + 1) % 120), "term": nothing,
-    }
-    path = F.col("_path")
-    journey = (
-        F.when(path == 0, F.concat(F.lit('{"moments":['), _moment(earlier), F.lit(","), _moment(utm), F.lit("]}")))
-        .when(path == 1, F.concat(F.lit('{"moments":['), _moment(utm), F.lit("]}")))
-        .when(path == 2, F.concat(F.lit('{"moments":['), _moment(utm), F.lit(",null]}")))
-        .when(path == 6, F.when(key % 2 == 0, "{bad").otherwise("null"))
+    base = table(spark, sf_dir, "orders").selectExpr(
+        "*",
+        "cast(floor(o_orderkey / 7) % 120 as int) as _k",
+        "o_orderkey % 7 as _path",
+        f"element_at({_cases()}, cast(o_custkey % {len(UTM_CASES)} + 1 as int)) as _case",
+        "date_add(date'2024-01-01', datediff(to_date(o_orderdate), date'1992-01-01') % 30) as order_date",
     )
-    twice = F.when(path == 4, _pair("utm_content", ad_id((F.col("_k") + 2) % 120)))
-    pairs = F.concat_ws(
-        ",", F.lit('{"key":"gift","value":"yes"}'), twice, *[_pair(f"utm_{f}", utm[f]) for f in FIELDS]
+    ids = {"@ad": _ad("_k"), "@adset": "concat('1202213430907', _k % 20 + 50000)", "@campaign": "concat('1202213430906', _k % 5 + 40000)"}
+    whens = " ".join(f"when '{mark}' then {sql}" for mark, sql in ids.items())
+    rows = base.selectExpr("*", *[f"case _case.{f} {whens} else _case.{f} end as _{f}" for f in FIELDS])
+    earlier = _moment(lambda f: EARLIER.get(f, "cast(null as string)"))
+    this = _moment(lambda f: f"_{f}")
+    twice = f"if(_path = 4, {_pair('utm_content', _ad('(_k + 2) % 120'))}, null)"
+    pairs = ", ".join(_pair(f"utm_{f}", f"_{f}") for f in FIELDS)
+    stamp = (
+        "concat(cast(order_date as string), ' ', lpad(o_orderkey % 24, 2, '0'), ':', "
+        "lpad(floor(o_orderkey / 24) % 60, 2, '0'), ':00+0530')"
     )
-    attributes = F.when(path.isin(3, 4), F.concat(F.lit("["), pairs, F.lit("]"))).when(path == 5, "[]")
-    shown = (path >= 5) | (key % 2 == 0)
-    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.date_diff(F.to_date("o_orderdate"), F.lit("1992-01-01")), F.lit(30)).cast("int"))
-    stamp = F.concat(
-        F.date_format(F.col("order_date"), "yyyy-MM-dd"), F.lit(" "),
-        F.lpad((key % 24).cast("string"), 2, "0"), F.lit(":"),
-        F.lpad((F.floor(key / 24) % 60).cast("string"), 2, "0"), F.lit(":00+0530"),
-    )
-    cancelled = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
-    out = rows.withColumn("order_date", day).select(
-        F.concat(F.lit("gid://shop/Order/"), key.cast("string")).alias("order_id"),
-        F.concat(F.lit("#"), key.cast("string")).alias("order_name"),
+    out = rows.selectExpr(
+        "concat('gid://shop/Order/', o_orderkey) as order_id",
+        "concat('#', o_orderkey) as order_name",
         "order_date",
-        stamp.alias("created_at_ist"),
-        F.when(cancelled, stamp).alias("cancelled_at_ist"),
-        F.col("o_totalprice").cast("decimal(15,2)").alias("total_price_amount"),
-        F.lit("INR").alias("total_price_currency"),
-        F.concat(F.lit("cust_"), F.col("o_custkey").cast("string")).alias("customer_id"),
-        *[F.when(shown, utm[f]).alias(f"customer_utm_{f}") for f in FIELDS],
-        journey.alias("customer_journey"),
-        attributes.alias("custom_attributes"),
+        f"{stamp} as created_at_ist",
+        f"if(o_orderstatus = 'P' and o_orderpriority = '5-LOW', {stamp}, null) as cancelled_at_ist",
+        "cast(o_totalprice as decimal(15,2)) as total_price_amount",
+        "'INR' as total_price_currency",
+        "concat('cust_', o_custkey) as customer_id",
+        *[f"if(_path >= 5 or o_orderkey % 2 = 0, _{f}, null) as customer_utm_{f}" for f in FIELDS],
+        f"""case _path when 0 then concat('{{"moments":[', {earlier}, ',', {this}, ']}}')
+                 when 1 then concat('{{"moments":[', {this}, ']}}')
+                 when 2 then concat('{{"moments":[', {this}, ',null]}}')
+                 when 6 then if(o_orderkey % 2 = 0, '{{bad', 'null') end as customer_journey""",
+        f"""case when _path in (3, 4) then concat('[', concat_ws(',', '{{"key":"gift","value":"yes"}}', {twice}, {pairs}), ']')
+                 when _path = 5 then '[]' end as custom_attributes""",
         "o_custkey",
     )
+    nothing = F.lit(None).cast("string")
     if geography:
         customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
         nation = table(spark, sf_dir, "nation")
@@ -187,16 +177,16 @@ def orders(spark: SparkSession, sf_dir: str, geography: bool = False, referrers:
         places = (
             customer.join(nation, customer.c_nationkey == nation.n_nationkey)
             .join(region, nation.n_regionkey == region.r_regionkey)
-            .select(
-                "c_custkey", F.col("r_name").alias("ship_country"), F.col("n_name").alias("ship_province"),
-                F.concat("n_name", F.lit(" "), "c_mktsegment").alias("ship_city"),
+            .selectExpr(
+                "c_custkey", "r_name as ship_country", "n_name as ship_province",
+                "concat(n_name, ' ', c_mktsegment) as ship_city",
             )
         )
         out = out.join(places, out.o_custkey == places.c_custkey, "left").drop("c_custkey")
     else:
         out = out.withColumns({c: nothing for c in ("ship_city", "ship_province", "ship_country")})
     if referrers:
-        pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("customer_referrer_url"))
+        pages = table(spark, sf_dir, "pages").selectExpr("page_id", "url as customer_referrer_url")
         out = out.join(pages, out.o_custkey == pages.page_id, "left").drop("page_id")
     else:
         out = out.withColumn("customer_referrer_url", nothing)
@@ -204,32 +194,30 @@ def orders(spark: SparkSession, sf_dir: str, geography: bool = False, referrers:
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("l_extendedprice") / F.col("l_quantity")
-    money = lambda c: half_up(c, 2).cast("decimal(10,2)")
-    part = F.col("l_partkey").cast("string")
-    return table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), part, F.col("l_quantity").cast("int").cast("string")).alias("item_id"),
-        F.concat(F.lit("gid://shop/Order/"), F.col("l_orderkey").cast("string")).alias("order_id"),
-        F.concat(F.lit("var_"), part).alias("variant_id"),
-        F.concat(F.lit("Item "), part).alias("title"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        money(price).alias("original_unit_price_amount"),
-        F.when(F.col("l_discount") == 0, F.lit(0)).otherwise(money(price * (F.lit(1.0) - F.col("l_discount")))).cast("decimal(10,2)").alias("discounted_unit_price_amount"),
+    money = lambda sql: f"cast(round(cast({sql} as decimal(38,10)), 2) as decimal(10,2))"
+    price = "l_extendedprice / l_quantity"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, cast(l_quantity as int)) as item_id",
+        "concat('gid://shop/Order/', l_orderkey) as order_id",
+        "concat('var_', l_partkey) as variant_id",
+        "concat('Item ', l_partkey) as title",
+        "cast(l_quantity as int) as quantity",
+        f"{money(price)} as original_unit_price_amount",
+        f"if(l_discount = 0, cast(0 as decimal(10,2)), {money(f'{price} * (1.0D - l_discount)')}) as discounted_unit_price_amount",
     )
 
 
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey").cast("string")
-    return table(spark, sf_dir, "part").select(
-        F.concat(F.lit("var_"), key).alias("variant_id"),
-        F.when(F.col("p_size") == 2, "").when(F.col("p_size") > 1, F.concat(F.lit("SKU-"), key)).alias("sku"),
-        F.col("p_brand").alias("variant_title"),
-        F.when(F.col("p_size") != 3, F.col("p_retailprice").cast("decimal(10,2)")).alias("unit_cost_amount"),
-        key.alias("product_id"),
-        F.col("p_name").alias("product_title"),
-        F.col("p_brand").alias("vendor"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("selling_price"),
-        F.when(F.col("p_type") != "PROMO", F.col("p_type")).alias("product_category"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "concat('var_', p_partkey) as variant_id",
+        "case when p_size = 2 then '' when p_size > 1 then concat('SKU-', p_partkey) end as sku",
+        "p_brand as variant_title",
+        "if(p_size <> 3, cast(p_retailprice as decimal(10,2)), null) as unit_cost_amount",
+        "cast(p_partkey as string) as product_id",
+        "p_name as product_title",
+        "p_brand as vendor",
+        "cast(p_retailprice as decimal(10,2)) as selling_price",
+        "if(p_type <> 'PROMO', p_type, null) as product_category",
     )
 
 
