@@ -53,17 +53,13 @@ def match_by_substring(distinct: DataFrame, terms: DataFrame, name: str) -> Data
     """
     low = F.lower(F.coalesce(name, F.lit("")))
     lengths = [r[0] for r in terms.select(F.length("term")).distinct().orderBy(1).collect()]
-    cuts = F.flatten(
-        F.array(
-            *[
-                F.when(
-                    F.length(low) >= n,
-                    F.transform(F.sequence(F.lit(1), F.length(low) - (n - 1)), lambda i, n=n: F.substring(low, i, F.lit(n))),
-                ).otherwise(F.array().cast("array<string>"))
-                for n in lengths
-            ]
-        )
-    )
+
+    def cut(size: int):
+        starts = F.sequence(F.lit(1), F.length(low) - (size - 1))
+        pieces = F.transform(starts, lambda start: F.substring(low, start, F.lit(size)))
+        return F.when(F.length(low) >= size, pieces).otherwise(F.array().cast("array<string>"))
+
+    cuts = F.flatten(F.array(*[cut(n) for n in lengths]))
     pieces = distinct.select(name, F.explode(F.array_distinct(cuts)).alias("term"))
     best = (
         pieces.join(terms, "term")
