@@ -16,11 +16,15 @@ HOURLY_EVENT_KEY = ["date_start", "hour_start", "ad_id"]
 
 
 def hourly_metrics(events: DataFrame, time: str = "ts", by: tuple[str, ...] = ("ad_id",), hours: int = 1) -> DataFrame:
-    """Impressions, clicks, spend, purchases and value per tumbling window; batch or stream."""
+    """Impressions, clicks, spend, purchases and value per tumbling window; batch or stream.
+
+    The window is built on the time column as it is: a cast would hide the
+    column's watermark, and a stream would then keep its state for ever.
+    """
     kind = F.col("event_type")
     paid = kind.isin("view", "click")
     return (
-        events.groupBy(F.window(F.col(time).cast("timestamp"), f"{hours} hour"), *by)
+        events.groupBy(F.window(time, f"{hours} hour"), *by)
         .agg(
             F.count_if(kind == "view").alias("impressions"),
             F.count_if(kind == "click").alias("clicks"),

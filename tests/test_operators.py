@@ -183,9 +183,8 @@ def test_runs_store_what_they_report(spark, store, tmp_path):
     assert hours.agg(F.sum("shopify_orders")).first()[0] == out["attributed"].count()
     stored = runs.mapping_run(store, WINDOW, str(tmp_path))
     assert spark.sql("select sum(orders) from v_daily_ad_performance").first()[0] == stored.count()
-    first = runs.utm_run(store, WINDOW, str(tmp_path), "b1")
-    again = runs.utm_run(store, WINDOW, str(tmp_path), "b1")
-    assert first["hourly"].count() == again["hourly"].count()
+    first = runs.utm_run(store, WINDOW, str(tmp_path), "b1")["hourly"].count()
+    assert runs.utm_run(store, WINDOW, str(tmp_path), "b1")["hourly"].count() == first
 
 
 def test_csv_sources(spark, tmp_path):

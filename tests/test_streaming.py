@@ -1,5 +1,7 @@
 """Streams over files give what the batch gives."""
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from adtrail.operators.sessions import sessionize
@@ -18,8 +20,9 @@ def test_hourly_stream_equals_batch(spark, small, tmp_path):
     stream = hourly.read_table_stream(spark, batch.schema, str(tmp_path / "in"), files_per_batch=1)
     metrics = hourly.hourly_metrics(hourly.watermarked(stream, late="40 days"))
     out = str(tmp_path / "out")
+    name = f"hours-{uuid4()}"  # the checkpoint folder may outlive the test
     for _ in range(2):  # the second run finds nothing new
-        query = hourly.incremental(metrics, "hours", hourly.upsert_hours(out), str(tmp_path / "state"))
+        query = hourly.incremental(metrics, name, hourly.upsert_hours(out), str(tmp_path / "state"))
         query.awaitTermination(300)
         assert query.exception() is None
     columns = ["date_start", "hour_start", "ad_id", "impressions", "clicks", "spend", "purchases", "revenue"]
@@ -49,7 +52,8 @@ def test_late_rows_are_counted(spark, small, tmp_path):
     batch.where("ts >= '2024-01-20'").coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = hourly.read_table_stream(spark, batch.schema, str(tmp_path / "in"))
     metrics = hourly.hourly_metrics(hourly.watermarked(stream, late="1 hour", id=None))
-    run = lambda: hourly.incremental(metrics, "late", lambda df, i: df.write.format("noop").mode("overwrite").save(), str(tmp_path / "state"))
+    name = f"late-{uuid4()}"
+    run = lambda: hourly.incremental(metrics, name, lambda df, i: df.write.format("noop").mode("overwrite").save(), str(tmp_path / "state"))
     first = run()
     first.awaitTermination(300)
     batch.where("ts < '2024-01-10'").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
