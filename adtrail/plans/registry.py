@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adtrail.functions import channels, journey, text
-from adtrail.functions.measures import to_number
+from adtrail.functions.measures import half_up, to_number
 from adtrail.operators import adlevel, ads, granular, mapping, platforms, products, quality, reports, sessions, sku, touch, utm
 from adtrail.operators.attribution import attribute, with_channels, with_touch
 from adtrail.operators.orders import fold_lines, priced_lines
@@ -708,7 +708,7 @@ def touch_last(t):
 
 
 def _rounded(df):
-    return df.withColumns({c: F.round(c, 4) for c in ("credited_revenue", "credited_orders")})
+    return df.withColumns({c: half_up(F.col(c), 4) for c in ("credited_revenue", "credited_orders")})
 
 
 @query

@@ -530,7 +530,7 @@ _DECAY = _WEIGHTED.format("pow(2.0, -(epoch_us(order_time) - epoch_us(touch_time
 
 def _shared(model: str, weighted: str) -> str:
     return f"""SELECT t.user_id, t.touch_id, {ts('t.touch_time')} AS touch_time, t.campaign_id, t.ad_id, '{model}' AS attribution_model,
-        ROUND(COALESCE(p.r, 0.0), 4) AS credited_revenue, ROUND(COALESCE(p.o, 0.0), 4) AS credited_orders FROM tou t LEFT JOIN (
+        {rnd('COALESCE(p.r, 0.0)', 4)} AS credited_revenue, {rnd('COALESCE(p.o, 0.0)', 4)} AS credited_orders FROM tou t LEFT JOIN (
         SELECT touch_id, SUM(part * order_value::DOUBLE) AS r, SUM(part) AS o FROM ({weighted}) GROUP BY touch_id) p USING (touch_id)"""
 
 
@@ -539,7 +539,7 @@ SQL["touch_decay"] = _shared("time_decay", _DECAY)
 _LAST28 = f"SELECT * FROM ({_PAIRS.format(28)}) QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY touch_time DESC, CAST(touch_id AS VARCHAR) DESC) = 1"
 SQL["touch_windows"] = f"""SELECT campaign_id, CAST(w AS BIGINT) AS window_days, {N} AS orders, {dbl('SUM(order_value)')} AS revenue FROM ({_LAST28}) JOIN (VALUES (1), (7), (28)) v(w)
     ON touch_time >= order_time - INTERVAL 1 DAY * w GROUP BY campaign_id, w"""
-_BYCAMP = "SELECT campaign_id, ROUND(SUM(o), 4) AS credited_orders, ROUND(SUM(r), 4) AS credited_revenue, '{0}' AS model FROM ({1}) GROUP BY campaign_id"
+_BYCAMP = f"SELECT campaign_id, {rnd('SUM(o)', 4)} AS credited_orders, {rnd('SUM(r)', 4)} AS credited_revenue, '{{0}}' AS model FROM ({{1}}) GROUP BY campaign_id"
 _ALLTOUCH = "SELECT t.campaign_id, COALESCE(part, 0) AS o, COALESCE(part * order_value::DOUBLE, 0) AS r FROM tou t LEFT JOIN ({0}) p USING (touch_id)"
 SQL["touch_credit_by_campaign"] = " UNION ALL ".join([
     _BYCAMP.format("first_click", f"SELECT campaign_id, 1.0::DOUBLE AS o, order_value AS r FROM ({SQL['touch_first']})"),
