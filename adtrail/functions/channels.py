@@ -86,13 +86,19 @@ def any_of(value: Column, words: list[str]) -> Column:
     return value.rlike("|".join(re.escape(w) for w in words))
 
 
-def _clean(value) -> Column:
+def clean(value) -> Column:
+    """Trimmed lower-case text, '' for null."""
     return F.lower(trimmed(F.coalesce(as_column(value), F.lit(""))))
 
 
-def channel_of(source, medium, campaign, content, term) -> Column:
-    """Meta / Google / Organic / Direct from the UTM fields; the first rule that fits wins."""
-    source, medium, campaign, content, term = map(_clean, (source, medium, campaign, content, term))
+def channel_of(source, medium, campaign, content, term, cleaned: bool = False) -> Column:
+    """Meta / Google / Organic / Direct from the UTM fields; the first rule that fits wins.
+
+    ``cleaned`` tells that the fields went through ``clean`` already, in a
+    projection of their own, so that the rules do not clean them again each.
+    """
+    prepare = as_column if cleaned else clean
+    source, medium, campaign, content, term = map(prepare, (source, medium, campaign, content, term))
     google = source.contains("google") | medium.contains("google")
     named_campaign = ~campaign.isin(EMPTY_WORDS)
     return (

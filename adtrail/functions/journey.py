@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adtrail.functions.measures import as_column
-from adtrail.functions.text import is_blank, non_empty, trimmed, valid_id
+from adtrail.functions.text import trimmed, valid_id
 
 UTM_FIELDS = ["source", "medium", "campaign", "content", "term"]
 # Which field names the ad object, most specific first.
@@ -47,44 +47,56 @@ def moments(journey) -> Column:
     return F.from_json(as_column(journey), JOURNEY_TYPE)["moments"]
 
 
-def journey_touch(journey) -> Column:
-    """Last moment that yields a valid id, as a touch struct; null if there is none."""
+def last_usable(parsed_moments: Column) -> Column:
+    """Touch of the last moment that yields a valid id; null if there is none."""
 
     def candidate(moment: Column) -> Column:
         utm = moment["utmParameters"]
         return _touch({f: utm[f] for f in UTM_FIELDS}, valid_id)
 
     usable = F.filter(
-        F.transform(moments(journey), candidate), lambda t: t["attribution_id"].isNotNull()
+        F.transform(parsed_moments, candidate), lambda t: t["attribution_id"].isNotNull()
     )
     return F.try_element_at(usable, F.lit(-1))
 
 
-def attribute_value(attributes: Column, key: str, position: int) -> Column:
+def journey_touch(journey) -> Column:
+    return last_usable(moments(journey))
+
+
+def pairs(attributes) -> Column:
+    """[{key, value}] text as an array; null for blank or unreadable text."""
+    return F.from_json(as_column(attributes), ATTRIBUTES_TYPE)
+
+
+def attribute_value(parsed_pairs: Column, key: str, position: int) -> Column:
     """Value of the first (1) or last (-1) pair with this key."""
-    pairs = F.filter(attributes, lambda pair: pair["key"] == key)
-    return F.try_element_at(pairs, F.lit(position))["value"]
+    found = F.filter(parsed_pairs, lambda pair: pair["key"] == key)
+    return F.try_element_at(found, F.lit(position))["value"]
 
 
-def attributes_touch(attributes) -> Column:
-    """Touch from [{key, value}] pairs; of repeated keys the last one counts."""
-    pairs = F.from_json(as_column(attributes), ATTRIBUTES_TYPE)
-    fields = {f: attribute_value(pairs, f"utm_{f}", -1) for f in UTM_FIELDS}
+def attribute_fields(parsed_pairs: Column) -> dict[str, Column]:
+    """UTM fields of the pairs; of repeated keys the last one counts."""
+    return {f: attribute_value(parsed_pairs, f"utm_{f}", -1) for f in UTM_FIELDS}
+
+
+def known_touch(fields: dict[str, Column]) -> Column:
+    """Touch from fields, null where none of them names an id."""
     return _known(_touch(fields, _present))
 
 
+def attributes_touch(attributes) -> Column:
+    return known_touch(attribute_fields(pairs(attributes)))
+
+
 def direct_touch(columns: dict[str, Column] | None = None) -> Column:
     """Touch from the order's own UTM columns; blank text counts as missing."""
     columns = columns or {f: F.col(f"customer_utm_{f}") for f in UTM_FIELDS}
-    fields = {f: F.when(trimmed(c) != "", c) for f, c in columns.items()}
-    return _known(_touch(fields, _present))
+    return known_touch({f: F.when(trimmed(c) != "", c) for f, c in columns.items()})
 
 
-def touch_cascade(journey="customer_journey", attributes="custom_attributes") -> tuple[Column, Column]:
+def first_touch_found(from_journey: Column, from_attributes: Column, from_columns: Column) -> tuple[Column, Column]:
     """(touch, source label): journey first, then attributes, then direct columns."""
-    from_journey = F.when(~is_blank(journey), journey_touch(journey))
-    from_attributes = F.when(~is_blank(attributes, array=True), attributes_touch(attributes))
-    from_columns = direct_touch()
     label = (
         F.when(from_journey.isNotNull(), "customer_journey")
         .when(from_attributes.isNotNull(), "custom_attributes")
@@ -101,15 +113,4 @@ def journey_ad_id(journey) -> Column:
 
 def attributes_ad_id(attributes) -> Column:
     """First utm_content pair's value."""
-    pairs = F.from_json(as_column(attributes), ATTRIBUTES_TYPE)
-    return attribute_value(pairs, "utm_content", 1)
-
-
-def ad_id_cascade(
-    journey="customer_journey", attributes="custom_attributes", content="customer_utm_content"
-) -> Column:
-    return F.coalesce(
-        non_empty(journey_ad_id(journey)),
-        non_empty(attributes_ad_id(attributes)),
-        non_empty(trimmed(content)),
-    )
+    return attribute_value(pairs(attributes), "utm_content", 1)

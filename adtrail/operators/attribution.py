@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtrail.functions.channels import PAID_CHANNELS, channel_of, hinted_channel
-from adtrail.functions.journey import UTM_FIELDS, touch_cascade
+from adtrail.functions import journey
+from adtrail.functions.channels import PAID_CHANNELS, channel_of, clean, hinted_channel
+from adtrail.functions.journey import UTM_FIELDS
 from adtrail.functions.measures import as_column
+from adtrail.functions.text import non_empty, trimmed
 from adtrail.operators.ads import AD_KEYS, daily_ads, first_ad_per_id
 from adtrail.operators.orders import priced_lines, with_line_totals
 from adtrail.sources.tables import DateWindow, ads_window, order_window
@@ -29,16 +31,56 @@ def evaluate_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def with_touch(orders: DataFrame) -> DataFrame:
-    """Add attribution source, id, type, UTM fields and the first channel guess."""
-    touch, label = touch_cascade()
-    parsed = evaluate_once(orders, {"_touch": touch, "attribution_source": label})
-    spread = parsed.select(
+    """Add attribution source, id, type, UTM fields and the first channel guess.
+
+    JSON text is parsed once, fields are picked from the parsed values once,
+    and the cascade reads the picked fields.
+    """
+    parsed = evaluate_once(
+        orders, {"_moments": journey.moments("customer_journey"), "_pairs": journey.pairs("custom_attributes")}
+    )
+    own = journey.attribute_fields(F.col("_pairs"))
+    picked = evaluate_once(
+        parsed,
+        {
+            "_journey": journey.last_usable(F.col("_moments")),
+            "_attributes": F.struct(*[c.alias(f) for f, c in own.items()]),
+            "_columns": journey.direct_touch(),
+        },
+    )
+    touch, label = journey.first_touch_found(
+        F.col("_journey"), journey.known_touch({f: F.col(f"_attributes.{f}") for f in UTM_FIELDS}), F.col("_columns")
+    )
+    found = evaluate_once(picked, {"_touch": touch, "attribution_source": label})
+    spread = found.select(
         *orders.columns, "attribution_source",
         *[F.col(f"_touch.{f}").alias(f"utm_{f}") for f in UTM_FIELDS],
         "_touch.attribution_id", "_touch.attribution_type",
         F.col("attribution_source").isNotNull().alias("is_attributed"),
     )
-    return evaluate_once(spread, {"channel": channel_of(*UTM_COLUMNS)})
+    return classified(spread, "channel")
+
+
+def classified(df: DataFrame, out: str) -> DataFrame:
+    """Add the channel of the UTM columns, cleaning each of them once."""
+    cleaned = {f"_clean_{f}": clean(f"utm_{f}") for f in UTM_FIELDS}
+    rows = evaluate_once(df, cleaned)
+    return evaluate_once(rows, {out: channel_of(*cleaned, cleaned=True)}).drop(*cleaned)
+
+
+def with_ad_id(orders: DataFrame) -> DataFrame:
+    """Add the order's ad id: journey content, then attribute content, then the UTM column."""
+    found = evaluate_once(
+        orders,
+        {
+            "_journey_ad": journey.journey_ad_id("customer_journey"),
+            "_attribute_ad": journey.attributes_ad_id("custom_attributes"),
+        },
+    )
+    return evaluate_once(
+        found,
+        {"ad_id": F.coalesce(non_empty("_journey_ad"), non_empty("_attribute_ad"), non_empty(trimmed("customer_utm_content")))},
+    ).drop("_journey_ad", "_attribute_ad")
 
 
 def settle_channel(

@@ -7,11 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtrail.functions.channels import channel_of
 from adtrail.functions.measures import total
 from adtrail.functions.text import hour_label, normal_hour_window, normal_id
 from adtrail.operators.ads import AD_KEYS, ad_rates
-from adtrail.operators.attribution import UTM_COLUMNS, direct_with_campaign, reclassified
+from adtrail.operators.attribution import UTM_COLUMNS, classified, direct_with_campaign, reclassified
 
 HOUR_KEY = [*AD_KEYS, "date_start", "hour_label"]
 IDS = ["campaign_id", "adset_id", "ad_id"]
@@ -75,11 +74,6 @@ def order_ids_by_hour(attributed: DataFrame, per_row: int = 10_000) -> DataFrame
     )
 
 
-def _enhanced_channel() -> Column:
-    again = channel_of(*UTM_COLUMNS)
-    return F.when(again != "Direct", again).otherwise(F.col("channel"))
-
-
 def granular_insights(attributed: DataFrame, ads: DataFrame, order_ids: bool = False) -> DataFrame:
     """Full outer join of ad hours and order hours, with channels settled per row.
 
@@ -106,8 +100,11 @@ def granular_insights(attributed: DataFrame, ads: DataFrame, order_ids: bool = F
         F.coalesce("_ads", F.lit(False)).alias("has_ads"),
         F.coalesce("_orders", F.lit(False)).alias("has_orders"),
     )
+    again = F.col("_again")
     settled = (
-        joined.withColumn("channel", _enhanced_channel())
+        classified(joined, "_again")
+        .withColumn("channel", F.when(again != "Direct", again).otherwise(F.col("channel")))
+        .drop("_again")
         .withColumn("_moved", direct_with_campaign())
         .withColumn(
             "_meta_name",

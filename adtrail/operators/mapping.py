@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtrail.functions.journey import UTM_FIELDS, ad_id_cascade
+from adtrail.functions.journey import UTM_FIELDS
 from adtrail.functions.measures import safe_div
 from adtrail.operators.ads import daily_ads_named
+from adtrail.operators.attribution import with_ad_id
 from adtrail.operators.orders import priced_lines, with_margin
 from adtrail.sources.tables import DateWindow, ads_window, order_window
 
@@ -43,11 +44,11 @@ def order_ad_mapping(
     ``ad_spend`` repeats the ad-day's spend on every line; sums over it count
     it once per line. Use ``spend_once`` for each ad-day counted once.
     """
-    own = order_window(orders, window).select(
+    own = with_ad_id(order_window(orders, window)).select(
         "order_id", "order_name", "order_date",
         F.col("total_price_amount").alias("order_value"),
         F.col("total_price_currency").alias("order_currency"),
-        ad_id_cascade().alias("ad_id"),
+        "ad_id",
         *[F.col(f"customer_utm_{f}").alias(f"utm_{f}") for f in UTM_FIELDS],
     ).where(F.col("ad_id").isNotNull())
     ad_days = best_ad_day(daily_ads_named(ads_window(ads, window)))

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from adtrail.functions import channels, journey, text
 from adtrail.functions.measures import half_up, to_number
 from adtrail.operators import adlevel, ads, granular, mapping, platforms, products, quality, reports, sessions, sku, touch, utm
-from adtrail.operators.attribution import attribute, with_channels, with_touch
+from adtrail.operators.attribution import attribute, with_ad_id, with_channels, with_touch
 from adtrail.operators.orders import fold_lines, priced_lines
 from adtrail.plans import mapping_views, utm_views, warehouse
 from adtrail.sources import sinks, testbed
@@ -215,7 +215,7 @@ def channel_settled(t):
 
 @query
 def order_ad_ids(t):
-    return t.orders().select("order_id", journey.ad_id_cascade().alias("ad_id"))
+    return with_ad_id(t.orders()).select("order_id", "ad_id")
 
 
 @query
