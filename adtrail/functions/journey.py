@@ -11,6 +11,8 @@ from adtrail.functions.text import trimmed, valid_id
 UTM_FIELDS = ["source", "medium", "campaign", "content", "term"]
 # Which field names the ad object, most specific first.
 ID_ORDER = ["content", "campaign", "medium"]
+# The order's own UTM columns.
+ORDER_COLUMNS = {f: f"customer_utm_{f}" for f in UTM_FIELDS}
 
 JOURNEY_TYPE = (
     "struct<moments:array<struct<utmParameters:"
@@ -89,12 +91,6 @@ def attributes_touch(attributes) -> Column:
     return known_touch(attribute_fields(pairs(attributes)))
 
 
-def direct_touch(columns: dict[str, Column] | None = None) -> Column:
-    """Touch from the order's own UTM columns; blank text counts as missing."""
-    columns = columns or {f: F.col(f"customer_utm_{f}") for f in UTM_FIELDS}
-    return known_touch({f: F.when(trimmed(c) != "", c) for f, c in columns.items()})
-
-
 def first_touch_found(from_journey: Column, from_attributes: Column, from_columns: Column) -> tuple[Column, Column]:
     """(touch, source label): journey first, then attributes, then direct columns."""
     label = (

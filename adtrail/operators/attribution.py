@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtrail.functions import journey
-from adtrail.functions.channels import PAID_CHANNELS, channel_of, clean, hinted_channel
+from adtrail.functions.channels import PAID_CHANNELS, channel_of, clean
 from adtrail.functions.journey import UTM_FIELDS
 from adtrail.functions.measures import as_column
 from adtrail.functions.text import non_empty, trimmed
@@ -34,8 +34,10 @@ def with_touch(orders: DataFrame) -> DataFrame:
     """Add attribution source, id, type, UTM fields and the first channel guess.
 
     JSON text is parsed once, fields are picked from the parsed values once,
-    and the cascade reads the picked fields.
+    and the cascade reads the picked fields. The texts themselves stop here;
+    flags tell that they were there.
     """
+    kept = [c for c in orders.columns if c not in ("customer_journey", "custom_attributes")]
     parsed = evaluate_once(
         orders, {"_moments": journey.moments("customer_journey"), "_pairs": journey.pairs("custom_attributes")}
     )
@@ -45,18 +47,22 @@ def with_touch(orders: DataFrame) -> DataFrame:
         {
             "_journey": journey.last_usable(F.col("_moments")),
             "_attributes": F.struct(*[c.alias(f) for f, c in own.items()]),
-            "_columns": journey.direct_touch(),
+            **{f"_own_{f}": F.when(trimmed(c) != "", F.col(c)) for f, c in journey.ORDER_COLUMNS.items()},
         },
     )
     touch, label = journey.first_touch_found(
-        F.col("_journey"), journey.known_touch({f: F.col(f"_attributes.{f}") for f in UTM_FIELDS}), F.col("_columns")
+        F.col("_journey"),
+        journey.known_touch({f: F.col(f"_attributes.{f}") for f in UTM_FIELDS}),
+        journey.known_touch({f: F.col(f"_own_{f}") for f in UTM_FIELDS}),
     )
     found = evaluate_once(picked, {"_touch": touch, "attribution_source": label})
     spread = found.select(
-        *orders.columns, "attribution_source",
+        *kept, "attribution_source",
         *[F.col(f"_touch.{f}").alias(f"utm_{f}") for f in UTM_FIELDS],
         "_touch.attribution_id", "_touch.attribution_type",
         F.col("attribution_source").isNotNull().alias("is_attributed"),
+        F.col("customer_journey").isNotNull().alias("has_customer_journey"),
+        F.col("custom_attributes").isNotNull().alias("has_custom_attributes"),
     )
     return classified(spread, "channel")
 
@@ -83,18 +89,17 @@ def with_ad_id(orders: DataFrame) -> DataFrame:
     ).drop("_journey_ad", "_attribute_ad")
 
 
-def settle_channel(
-    channel="channel", is_attributed="is_attributed",
-    referrer="customer_referrer_url", journey="customer_journey", attributes="custom_attributes",
-) -> Column:
-    """Channel of orders without attribution: Meta counts as Organic, an unknown one is guessed."""
+def settle_channel(channel="channel", is_attributed="is_attributed", hint: Column | None = None) -> Column:
+    """Channel of orders without attribution: Meta counts as Organic.
+
+    The channel rules always end in one of four channels. For other rule sets
+    ``hint`` (such as ``hinted_channel``) decides where they end in none.
+    """
     channel, attributed = as_column(channel), as_column(is_attributed)
-    return (
-        F.when(attributed, channel)
-        .when(channel == "Meta", "Organic")
-        .when(channel.isin("Google", "Organic", "Direct"), channel)
-        .otherwise(hinted_channel(referrer, journey, attributes))
-    )
+    settled = F.when(~attributed & (channel == "Meta"), "Organic")
+    if hint is not None:
+        settled = settled.when(~attributed & ~channel.isin("Google", "Organic", "Direct"), hint)
+    return settled.otherwise(channel)
 
 
 def _filled(column: str) -> Column:
@@ -192,12 +197,6 @@ def attribute(
     rows = with_channels(order_window(orders, window)).withColumnsRenamed(
         {"total_price_amount": "order_value", "total_price_currency": "order_currency"}
     )
-    rows = rows.withColumns(
-        {
-            "has_customer_journey": F.col("customer_journey").isNotNull(),
-            "has_custom_attributes": F.col("custom_attributes").isNotNull(),
-        }
-    )
     columns = list(ORDER_COLUMNS)
     rows = rows.select(
         *ORDER_COLUMNS, "channel", "first_channel", "attribution_source", "attribution_id",
