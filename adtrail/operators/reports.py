@@ -105,8 +105,8 @@ def batch_metrics(attributed: DataFrame, ad_level: DataFrame) -> DataFrame:
         F.count_if("is_attributed").alias("attributed_orders"),
         F.count_if(~F.col("is_attributed")).alias("unattributed_orders"),
         total("order_value").alias("total_sales"),
-    ).withColumn("_one", F.lit(1))
-    ads = ad_level.agg(
-        F.count(F.lit(1)).alias("total_ads"), total("spend").alias("total_spend")
-    ).withColumn("_one", F.lit(1))
-    return orders.join(ads, "_one").drop("_one")
+    )
+    ads = ad_level.agg(F.count(F.lit(1)).alias("total_ads"), total("spend").alias("total_spend"))
+    # Two one-row frames side by side, without a join.
+    both = orders.unionByName(ads, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
