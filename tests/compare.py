@@ -24,9 +24,6 @@ def duck(sf_dir: str):
     return con
 
 
-def _key(row):
-    return tuple((v is None, str(type(v)) if not isinstance(v, (int, float)) else "n", round(v, 4) if isinstance(v, float) else v) for v in row)
-
 
 def normal(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
