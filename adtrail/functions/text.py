@@ -72,17 +72,23 @@ def normal_hour_window(text) -> Column:
     return hour_label(window_hour(text))
 
 
+_CLOCK = r"^\s*(\d{4}-\d{1,2}-\d{1,2})(?:[ T](\d{1,2}:\d{2})(:\d{2})?(\.\d{1,9})?\s*(?:Z|[+-]\d{2}:?\d{2}|[+-]\d{2})?)?\s*$"
+
+
 def wall_clock(text) -> Column:
-    """IST text to a zone-less timestamp that keeps the wall clock it shows."""
-    return F.to_timestamp_ntz(F.substring(as_column(text), 1, 19), F.lit("yyyy-MM-dd HH:mm:ss"))
+    """Timestamp text to a zone-less timestamp that keeps the wall clock it shows; null where it cannot be read.
+
+    Seconds, fractions and the offset may be missing, ``T`` may stand for the space; a bare date is its midnight.
+    """
+    text = as_column(text)
+    part = lambda n: F.regexp_extract(text, _CLOCK, n)
+    clock = F.concat(part(1), F.lit(" "), F.coalesce(F.nullif(part(2), F.lit("")), F.lit("00:00")), F.coalesce(F.nullif(part(3), F.lit("")), F.lit(":00")), part(4))
+    return F.when(part(1) != "", clock).try_cast("timestamp_ntz")
 
 
 def parse_timestamp(text) -> Column:
     """Day-first or ISO text, with or without offset, to wall clock; null if neither."""
-    head = F.substring(trimmed(text), 1, 19)
-    return F.coalesce(
-        F.try_to_timestamp(head, F.lit(DAY_FIRST_FORMAT)),
-        F.try_to_timestamp(head, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(head, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-        F.try_to_timestamp(head, F.lit("yyyy-MM-dd")),
-    ).cast("timestamp_ntz")
+    whole = trimmed(text)
+    day_first = r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4})(.*)$"
+    turned = F.regexp_replace(whole, day_first, "$3-$2-$1$4")
+    return wall_clock(turned)

@@ -169,16 +169,14 @@ def range_kpis(attributed: DataFrame, ad_level: DataFrame, dedupe_spend: bool =
         F.col("ad_id").alias("r_ad"), F.col("campaign_id").alias("r_campaign"),
         "analysis_date_start", "analysis_date_end", "batch_id", "spend",
     )
-    # Rows without an ad match no range; they stay out of the join so their
-    # null keys do not pile up in one partition.
-    keyed = days.where(F.col("ad_id").isNotNull())
-    joined = keyed.join(
+    # Rows without an ad match no range; folded, they are one per channel, campaign and day.
+    joined = days.join(
         ranges,
         (F.col("ad_id") == F.col("r_ad"))
         & (F.col("campaign_id") == F.col("r_campaign"))
         & F.col("day").between(F.col("analysis_date_start"), F.col("analysis_date_end")),
         "left",
-    ).unionByName(days.where(F.col("ad_id").isNull()), allowMissingColumns=True)
+    )
     if dedupe_spend:
         # One line per channel and ad-level row carries the spend.
         once = joined.groupBy("channel", "r_ad", "r_campaign", "analysis_date_start", "analysis_date_end", "batch_id").agg(

@@ -55,23 +55,24 @@ def orders_by_hour(attributed: DataFrame) -> DataFrame:
     )
 
 
-def order_ids_by_hour(attributed: DataFrame, per_row: int = 10_000) -> DataFrame:
-    """The sorted order-id list of each hour key, cut into rows of about ``per_row`` ids.
+def id_lists(attributed: DataFrame, dealt: int = 64) -> DataFrame:
+    """All order ids of each hour key, as an array.
 
-    A key may hold any share of all orders, so its list is dealt by hash over
-    ``parts`` rows; keys within ``per_row`` have their whole list in part 0.
+    Ids are gathered over ``dealt`` parts of a key first, so a key with a large share of the orders is gathered by
+    many tasks; its list is whole, whatever its size.
     """
-    keyed = keyed_orders(attributed).select(*HOUR_KEY, "order_id").alias("k")
-    sizes = keyed.groupBy(*HOUR_KEY).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(per_row)).cast("int").alias("parts")
-    ).alias("s")
-    same = reduce(lambda a, b: a & b, [F.col(f"k.{c}").eqNullSafe(F.col(f"s.{c}")) for c in HOUR_KEY])
-    dealt = keyed.join(sizes, same).select(
-        "k.*", "parts", F.pmod(F.xxhash64("order_id"), F.col("parts")).cast("int").alias("part")
-    )
-    return dealt.groupBy(*HOUR_KEY, "parts", "part").agg(
-        F.array_join(F.sort_array(F.collect_set("order_id")), ", ").alias("order_ids")
-    )
+    keyed = keyed_orders(attributed).select(*HOUR_KEY, "order_id", F.pmod(F.xxhash64("order_id"), F.lit(dealt)).alias("_part"))
+    parts = keyed.groupBy(*HOUR_KEY, "_part").agg(F.collect_set("order_id").alias("_ids"))
+    return parts.groupBy(*HOUR_KEY).agg(F.flatten(F.collect_list("_ids")).alias("_ids"))
+
+
+def id_text(ids) -> Column:
+    return F.array_join(F.array_sort(ids), ", ")
+
+
+def order_ids_by_hour(attributed: DataFrame, dealt: int = 64) -> DataFrame:
+    """The sorted order-id list of each hour key."""
+    return id_lists(attributed, dealt).select(*HOUR_KEY, id_text(F.col("_ids")).alias("order_ids"))
 
 
 def granular_insights(attributed: DataFrame, ads: DataFrame, order_ids: bool = False) -> DataFrame:
@@ -85,18 +86,18 @@ def granular_insights(attributed: DataFrame, ads: DataFrame, order_ids: bool = F
     left = hourly_ads(ads).withColumn("_ads", F.lit(True)).alias("a")
     right = orders_by_hour(attributed)
     if order_ids:
-        lists = order_ids_by_hour(attributed).where("parts = 1").drop("parts", "part")
+        lists = id_lists(attributed)
         same = reduce(lambda a, b: a & b, [right[c].eqNullSafe(lists[c]) for c in HOUR_KEY])
-        right = right.join(lists, same, "left").select(*[right[c] for c in right.columns], "order_ids")
+        right = right.join(lists, same, "left").select(*[right[c] for c in right.columns], "_ids")
     right = right.withColumn("_orders", F.lit(True)).alias("o")
     same = reduce(lambda a, b: a & b, [F.col(f"a.{c}").eqNullSafe(F.col(f"o.{c}")) for c in HOUR_KEY])
     measures = ["shopify_orders", "shopify_revenue", "shopify_cogs", "total_sku_quantity"]
-    texts = [*FIRST_COLUMNS, *(["order_ids"] if order_ids else [])]
     joined = left.join(right, same, "full").select(
         *[F.when(F.col("_ads"), F.col(f"a.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in HOUR_KEY],
         *[F.when(F.col("_ads"), F.col(c)).otherwise(F.lit(0)).alias(c) for c in AD_METRICS],
         *[F.coalesce(c, F.lit(0)).alias(c) for c in measures],
-        *[F.coalesce(c, F.lit("")).alias(c) for c in texts],
+        *[F.coalesce(c, F.lit("")).alias(c) for c in FIRST_COLUMNS],
+        *(["_ids"] if order_ids else []),
         F.coalesce("_ads", F.lit(False)).alias("has_ads"),
         F.coalesce("_orders", F.lit(False)).alias("has_orders"),
     )
@@ -124,12 +125,13 @@ def granular_insights(attributed: DataFrame, ads: DataFrame, order_ids: bool = F
             for c, level in NAMES.items()
         }
     )
-    return one_row_per_key(named, texts)
+    return one_row_per_key(named, order_ids)
 
 
-def one_row_per_key(granular: DataFrame, texts: list[str]) -> DataFrame:
-    """Rows that end up under the same key are summed and their rates worked out anew."""
-    order = F.struct(~F.col("has_orders"), *texts)
+def one_row_per_key(granular: DataFrame, order_ids: bool) -> DataFrame:
+    """Rows that end up under the same key are summed, their id lists joined and their rates worked out anew."""
+    order = F.struct(~F.col("has_orders"), *FIRST_COLUMNS)
+    lists = [id_text(F.flatten(F.collect_list("_ids"))).alias("order_ids")] if order_ids else []
     folded = (
         granular.groupBy(*HOUR_KEY)
         .agg(
@@ -137,10 +139,11 @@ def one_row_per_key(granular: DataFrame, texts: list[str]) -> DataFrame:
                 *AD_METRICS, "shopify_orders", "shopify_revenue", "shopify_cogs", "total_sku_quantity",
             )],
             F.min(order).alias("_first"),
+            *lists,
             F.max("has_ads").alias("has_ads"),
             F.max("has_orders").alias("has_orders"),
         )
-        .select("*", *[F.col(f"_first.{c}").alias(c) for c in texts])
+        .select("*", *[F.col(f"_first.{c}").alias(c) for c in FIRST_COLUMNS])
         .drop("_first")
     )
     return ad_rates(folded).withColumn("hourly_window", F.col("hour_label"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtrail.functions.measures import half_up, ratio
-from adtrail.functions.text import is_blank, trimmed
+from adtrail.functions.text import is_blank, trimmed, wall_clock
 
 
 def _conditions() -> dict[str, Column]:
@@ -140,6 +140,15 @@ def quarantine(df: DataFrame, errors: Column) -> tuple[DataFrame, DataFrame]:
     return marked.where(~bad).drop("reject_reasons"), marked.where(bad)
 
 
+def unusable_order(orders: DataFrame) -> Column:
+    """Why an order cannot enter a run: no id, value or time, or a time that cannot be read."""
+    base = validation_errors(
+        orders, ["order_id", "created_at_ist", "total_price_amount"], {"total_price_amount": "decimal(15,2)"}, {"total_price_amount": (0, 1e12)}
+    )
+    unread = ~is_blank(F.col("created_at_ist")) & wall_clock("created_at_ist").isNull()
+    return F.concat(base, F.filter(F.array(F.when(unread, F.lit("unreadable created_at_ist"))), lambda r: r.isNotNull()))
+
+
 def order_errors(orders: DataFrame) -> Column:
     """Why an order cannot be attributed: no id, value or time, or JSON that does not parse."""
     base = validation_errors(
@@ -306,28 +315,29 @@ def audit_sample(orders: DataFrame, size: int = 50) -> DataFrame:
     """Every k-th order, newest day first, at most ``size`` rows, with raw JSON and flags.
 
     Inside a day orders stand by a hash of their id. Row numbers come from
-    counts per (day, hash prefix) plus a number inside that cell, so no task
-    numbers more than a 256th of a day.
+    counts per (day, hash prefix); only the cells that hold a wanted place are
+    numbered, by id alone, and only the orders picked are fetched whole.
     """
-    keyed = orders.withColumn("_hash", F.md5("order_id")).withColumn("_cell", F.substring("_hash", 1, 2))
+    keyed = orders.select("order_id", "order_date", F.md5("order_id").alias("_hash")).withColumn("_cell", F.substring("_hash", 1, 4))
     cells = keyed.groupBy("order_date", "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    # Cells are days x 256, whatever the number of orders.
-    before = Window.orderBy(F.col("order_date").desc(), "_cell").rowsBetween(Window.unboundedPreceding, -1)
-    everyone = Window.partitionBy()
-    offsets = cells.select(
-        "order_date", "_cell",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(everyone).alias("_total"),
+    days = cells.groupBy("order_date").agg(F.sum("_n").alias("_day"))
+    # One row per day here, and no more than 65536 cells a day below.
+    earlier = Window.orderBy(F.col("order_date").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("order_date", F.coalesce(F.sum("_day").over(earlier), F.lit(0)).alias("_before"), F.sum("_day").over(Window.partitionBy()).alias("_total"))
+    inside_day = Window.partitionBy("order_date").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    placed = cells.withColumn("_offset", F.coalesce(F.sum("_n").over(inside_day), F.lit(0))).join(days, "order_date")
+    step = F.greatest(F.lit(1), F.floor(F.col("_total") / F.least(F.lit(size), F.col("_total"))))
+    first = F.col("_before") + F.col("_offset")
+    wanted = F.ceil(first / F.col("_step")) * F.col("_step")
+    hit = placed.withColumn("_step", step).withColumn("_first", first).where(
+        (wanted < F.col("_first") + F.col("_n")) & (F.floor(F.col("_first") / F.col("_step")) < size)
     )
     inside = Window.partitionBy("order_date", "_cell").orderBy("_hash", "order_id")
-    step = F.greatest(F.lit(1), F.floor(F.col("_total") / F.least(F.lit(size), F.col("_total"))))
-    position = F.col("_offset") + F.row_number().over(inside) - 1
-    picked = (
-        keyed.join(offsets, ["order_date", "_cell"])
-        .withColumn("_position", position)
-        .withColumn("_step", step)
-        .where((F.col("_position") % F.col("_step") == 0) & (F.floor(F.col("_position") / F.col("_step")) < size))
+    numbered = keyed.join(hit.select("order_date", "_cell", "_first", "_step"), ["order_date", "_cell"]).withColumn(
+        "_position", F.col("_first") + F.row_number().over(inside) - 1
     )
+    chosen = numbered.where((F.col("_position") % F.col("_step") == 0) & (F.floor(F.col("_position") / F.col("_step")) < size))
+    picked = orders.join(chosen.select("order_id", "order_date"), ["order_id", "order_date"], "left_semi")
     return picked.select(
         "order_id", "order_name", "order_date", F.col("total_price_amount").alias("order_value"),
         shown_json("customer_journey").alias("customer_journey_raw"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtrail.functions.measures import half_up, ratio, safe_div
@@ -47,11 +49,9 @@ def sku_attribution(attributed: DataFrame, lines: DataFrame, ads: DataFrame, las
     )
     spend = ad_totals(ads).select(*AD_NAMES, "ad_spend")
     # Spend is looked up per order, before orders spread into SKUs. Orders without
-    # an ad keep out of it: their few shared names would crowd one partition.
-    known_ad = F.col("ad_id").isNotNull()
-    priced = orders.where(known_ad).join(spend, AD_NAMES, "left").unionByName(
-        orders.where(~known_ad), allowMissingColumns=True
-    )
+    # an ad are spread by their id: their few shared names would crowd one partition.
+    spread = F.when(F.col("ad_id").isNull(), F.concat(F.lit("order "), "order_id")).otherwise(F.lit("ad"))
+    priced = orders.withColumn("_spread", spread).join(spend.withColumn("_spread", F.lit("ad")), [*AD_NAMES, "_spread"], "left").drop("_spread")
     rows = priced.withColumn("ad_spend", F.coalesce("ad_spend", F.lit(0))).join(sku_lines(lines, last_line), "order_id")
     return rows.withColumns(
         {
@@ -84,8 +84,8 @@ def hierarchy(ad_sku: DataFrame, ad_totals_by_name: DataFrame) -> DataFrame:
     rows = ad_sku.join(ads, AD_NAMES, "left").withColumns(
         {c: F.coalesce(c, F.lit(0)) for c in ("ad_impressions", "ad_clicks", "ad_spend")}
     )
-    # An ad's rows here are its distinct SKUs, bounded by the catalogue.
-    rows = rows.withColumn("_first_sku", F.min("sku").over(Window.partitionBy(*AD_NAMES)))
+    firsts = ad_sku.groupBy(*AD_NAMES).agg(F.min("sku").alias("_first_sku"))
+    rows = rows.join(firsts, AD_NAMES)
     first = F.col("sku") == F.col("_first_sku")
     rows = rows.withColumns(
         {f"{c}_once": F.when(first, F.col(c)).otherwise(F.lit(0)) for c in ("ad_spend", "ad_clicks", "ad_impressions")}
@@ -126,25 +126,37 @@ def hierarchy(ad_sku: DataFrame, ad_totals_by_name: DataFrame) -> DataFrame:
 def hierarchy_report(rows: DataFrame) -> DataFrame:
     """Reading order with repeated names blanked, as the printed report shows them.
 
-    The previous row is looked up within a campaign, so no task holds more than
-    one campaign's report.
+    The first row of every ad is found by an aggregate, those of ad sets and
+    campaigns by aggregates over that; no task sorts a campaign.
     """
     depth = F.when(F.col("level") == "SKU", 0).otherwise(1)
     order = [
         F.col("adset_name").asc_nulls_last(), F.col("ad_name").asc_nulls_last(),
         depth, F.col("total_sales").desc(), F.col("sku"),
     ]
-    inside = Window.partitionBy("campaign_name").orderBy(*order)
-    new_campaign = F.lag("campaign_name").over(inside).isNull()
-    new_adset = new_campaign | ~F.lag("adset_name").over(inside).eqNullSafe(F.col("adset_name"))
-    new_ad = new_adset | ~F.lag("ad_name").over(inside).eqNullSafe(F.col("ad_name"))
-    return rows.withColumns(
+    nulls_last = lambda c: F.struct(F.col(c).isNull(), c)
+    place = F.struct(depth.alias("depth"), (-F.col("total_sales")).alias("sales"), "sku")
+    ads = rows.groupBy(*AD_NAMES).agg(F.min(place).alias("_place"))
+    adsets = ads.groupBy("campaign_name", "adset_name").agg(F.min(nulls_last("ad_name")).alias("_ad"))
+    campaigns = adsets.groupBy("campaign_name").agg(F.min(nulls_last("adset_name")).alias("_adset"))
+
+    def met(df, firsts, keys):
+        named = firsts.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+        return df.join(named, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])).drop(*[f"_of_{k}" for k in keys])
+
+    firsts = met(met(ads, adsets, ["campaign_name", "adset_name"]), campaigns, ["campaign_name"])
+    rows = met(rows, firsts, AD_NAMES)
+    new_ad = place == F.col("_place")
+    new_adset = new_ad & (nulls_last("ad_name") == F.col("_ad"))
+    new_campaign = new_adset & (nulls_last("adset_name") == F.col("_adset"))
+    shown = rows.withColumns(
         {
             "shown_campaign": F.when(new_campaign, F.col("campaign_name")).otherwise(F.lit("")),
             "shown_adset": F.when(new_adset, F.col("adset_name")).otherwise(F.lit("")),
             "shown_ad": F.when(new_ad, F.col("ad_name")).otherwise(F.lit("")),
         }
-    ).orderBy("campaign_name", *order)
+    )
+    return shown.drop("_place", "_ad", "_adset").orderBy("campaign_name", *order)
 
 
 def sku_campaign_fact(sku_rows: DataFrame, products: DataFrame) -> DataFrame:

@@ -1,54 +1,46 @@
 """Running sums and carried values along each key's timeline, safe for hot keys.
 
 A window partitioned by a user alone puts a hot user's whole history into one
-task. Here a timeline is cut into segments of time: a small table holds one row
-per key and segment, prefixes run over that table, and the row-level window
-runs inside (key, segment). Every frame starts at the segment's first row, so
-the work is linear; no pair of rows is ever formed.
+task. Here a timeline is cut into segments of an hour: a small table holds one
+row per key and segment, prefixes run over that table, and the row-level window
+runs inside (key, segment). The largest task holds one hour of one key, and the
+largest prefix one row per hour of its history. Every frame starts at the
+segment's first row, so the work is linear; no pair of rows is ever formed.
+
+Rows with a null key are a group of their own and stay.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DAY_US = 86_400_000_000
-SECOND_US = 1_000_000
+HOUR_US = 3_600_000_000
 SEGMENT = "_segment"
 
 
 def micros(ts) -> Column:
-    """Microseconds since the epoch of a timestamp, with or without zone."""
-    return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
+    """Microseconds since the epoch; a zone-less time is taken as it stands, in any session zone."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    second = F.floor(F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("long")
+    minutes = (F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long") * 24 + F.hour(ts)) * 60 + F.minute(ts)
+    wall = minutes * F.lit(60_000_000) + second
+    return F.when(F.typeof(ts) == "timestamp_ntz", wall).otherwise(F.unix_micros(ts.cast("timestamp")))
 
 
-def with_segments(
-    df: DataFrame, keys: list[str], time: str, width_us: int = DAY_US, split_over: int = 1_000_000
-) -> DataFrame:
-    """Add the segment number (unit: one second) of each row and lay rows out by (key, segment).
+def with_segments(df: DataFrame, keys: list[str], time: str, width_us: int = HOUR_US) -> DataFrame:
+    """Add the segment number of each row and lay rows out by (key, segment)."""
+    segment = F.floor(F.col(time) / F.lit(width_us)).cast("long")
+    return df.withColumn(SEGMENT, segment).repartition(*keys, SEGMENT)
 
-    A (key, day) with more than ``split_over`` rows is cut into seconds, so no
-    segment grows with the data; all others stay one segment per ``width_us``.
-    The rows are shuffled once here; the totals and windows that follow all
-    read that one shuffle.
-    """
-    bucket = F.floor(F.col(time) / F.lit(width_us)).cast("long")
-    bucketed = df.withColumn("_bucket", bucket)
-    crowded = (
-        bucketed.groupBy(*keys, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > split_over)
-        .select(*keys, "_bucket", F.lit(True).alias("_crowded"))
-    )
-    fine = F.floor(F.col(time) / F.lit(SECOND_US)).cast("long")
-    coarse = F.col("_bucket") * F.lit(width_us // SECOND_US)
-    return (
-        # At most rows / split_over entries, which bounds what is broadcast.
-        bucketed.join(F.broadcast(crowded), [*keys, "_bucket"], "left")
-        .withColumn(SEGMENT, F.when(F.col("_crowded"), fine).otherwise(coarse))
-        .drop("_bucket", "_crowded")
-        .repartition(*keys, SEGMENT)
-    )
+
+def _met(df: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
+    """Each row with what its segment starts from; null keys meet null keys."""
+    named = carried.withColumnsRenamed({c: f"_of_{c}" for c in keys})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys])
+    return df.join(named, same).drop(*[f"_of_{c}" for c in keys])
 
 
 def _orders(order: list[str], descending: bool) -> list[Column]:
@@ -86,7 +78,7 @@ def carry_last(
         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     )
     return (
-        df.join(carried, [*keys, SEGMENT])
+        _met(df, carried, [*keys, SEGMENT])
         .withColumn(out, F.coalesce(F.last("_value", True).over(inside), F.col("_carry")))
         .drop("_value", "_carry")
     )
@@ -118,7 +110,7 @@ def running_sums(
         .orderBy(*_orders(order, descending))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    joined = df.join(carried, [*keys, SEGMENT])
+    joined = _met(df, carried, [*keys, SEGMENT])
     for part, name in parts.items():
         local, carry = F.sum(part).over(inside), F.col(f"_carry{part}")
         zero = F.lit(0).cast(kind)

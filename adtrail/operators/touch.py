@@ -10,8 +10,6 @@ so a user with a billion touches costs a sort, not touches x conversions rows.
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +21,8 @@ MODELS = ["first_click", "last_click", "linear", "time_decay"]
 # same instant, and still counts at exactly the end of the look-back.
 PROBE, TOUCH, CONVERSION, EXPIRY = -1, 0, 1, 2
 ORDER = ["t", "rank", "id"]
+# Half-lives that the weights of one block may span: 2^900 leaves a double room for sums.
+MOST_HALF_LIVES = 900
 
 
 def _touch_rows(touches: DataFrame, dims: list[str]) -> DataFrame:
@@ -81,49 +81,62 @@ def last_click(touches, conversions, days: int = 30, dims=("campaign_id", "ad_id
     return _one_touch(touches, conversions, days, list(dims), False)
 
 
+def _blocks(days: int, half_life_days: float) -> tuple[int, int]:
+    """(microseconds of a block, microseconds of the look-back) such that weights inside a block fit a double."""
+    reach, room = days * DAY_US, int(MOST_HALF_LIVES * half_life_days * DAY_US)
+    if room < reach * 1.1:
+        raise ValueError(f"a look-back of {days} days is over {int(MOST_HALF_LIVES / 1.1)} half-lives")
+    return room - reach, reach
+
+
 def shared_credit(
     touches: DataFrame,
     conversions: DataFrame,
     days: int = 30,
     half_life_days: float | None = None,
     dims=("campaign_id", "ad_id"),
-    origin: datetime = datetime(2020, 1, 1),
 ) -> DataFrame:
     """Credit of every touch: equal parts, or halving per ``half_life_days`` of age.
 
     An order's touches carry weights that sum to 1. With touch weight w (1, or
-    2^(age of the touch since origin / half life)) and A the sum of w over the
-    touches alive at a conversion, the touch's part of it is w / A. So its
-    credit is w x (sum of value / A over the conversions of its window).
-    Dates must lie within 1000 half lives of ``origin``.
+    2^(time / half life)) and A the sum of w over the touches alive at a
+    conversion, the touch's part of it is w / A. So its credit is
+    w x (sum of value / A over the conversions of its window).
+
+    Under decay, time is counted from the start of a block of conversions, less
+    the look-back, so weights fit a double at any date; a touch is a row in
+    every block that its window meets. Rows without a user are one anonymous
+    user's.
     """
     dims = list(dims)
-    touch_rows = _touch_rows(touches, dims)
-    expiries = touch_rows.select(
-        "user_id", (F.col("t") + F.lit(days * DAY_US)).alias("t"), F.lit(EXPIRY).alias("rank"), "id", "touch"
-    )
-    rows = (
-        touch_rows.unionByName(expiries)
-        .unionByName(_conversion_rows(conversions, CONVERSION), allowMissingColumns=True)
-    )
-    rows = with_segments(rows, ["user_id"], "t")
+    linear = half_life_days is None
+    width, reach = (1, days * DAY_US) if linear else _blocks(days, half_life_days)
+    block = lambda t: F.lit(0).cast("long") if linear else F.floor(t / F.lit(width)).cast("long")
+    alive_for = F.sequence(block(F.col("t")), block(F.col("t") + F.lit(reach)))
+    touch_rows = _touch_rows(touches, dims).withColumn("touch_t", F.col("t")).withColumn("_block", F.explode(alive_for))
+    # One pass over the touches: each is a row where it begins and a row where it ends to count.
+    ends = F.array(F.struct("t", F.lit(TOUCH).alias("rank")), F.struct((F.col("t") + F.lit(reach)).alias("t"), F.lit(EXPIRY).alias("rank")))
+    touch_rows = touch_rows.withColumn("_end", F.explode(ends)).withColumns({"t": F.col("_end.t"), "rank": F.col("_end.rank")}).drop("_end")
+    orders = _conversion_rows(conversions, CONVERSION).withColumn("_block", block(F.col("t")))
+    rows = touch_rows.unionByName(orders, allowMissingColumns=True)
+    keys = ["user_id", "_block"]
+    rows = with_segments(rows, keys, "t")
     sign = F.when(F.col("rank") == TOUCH, 1).when(F.col("rank") == EXPIRY, -1)
 
-    if half_life_days is None:
+    if linear:
         weight = F.lit(1.0)
         alive = {"alive": sign}
         # Parts are decimals, so differences of running totals are exact.
         part, kind = "decimal(22,12)", "decimal(36,12)"
         mass = F.col("alive").cast("double")
     else:
-        origin_us = int((origin - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
-        touched = micros(F.col("touch.touch_time")) - F.lit(origin_us)
-        weight = F.pow(F.lit(2.0), touched / F.lit(half_life_days * DAY_US))
+        origin = F.col("_block") * F.lit(width) - F.lit(reach)
+        weight = F.pow(F.lit(2.0), (F.col("touch_t") - origin) / F.lit(half_life_days * DAY_US))
         alive = {"alive": sign, "mass": sign * weight}
         part = kind = "double"
         mass = F.col("mass")
 
-    counted = running_sums(rows, ["user_id"], ORDER, alive)
+    counted = running_sums(rows, keys, ORDER, alive)
     earning = (F.col("rank") == CONVERSION) & (F.col("alive") > 0)
     parts = {
         "value_after": F.when(earning, (F.col("conversion.order_value").cast("double") / mass).cast(part)),
@@ -131,26 +144,30 @@ def shared_credit(
     }
     # Totals run from the end backwards: later parts are the smaller ones under
     # decay, so the difference keeps its precision.
-    summed = running_sums(counted, ["user_id"], ORDER, parts, kind, descending=True)
+    summed = running_sums(counted, keys, ORDER, parts, kind, descending=True)
 
     def gained(running: str):
         return F.sum(F.when(F.col("rank") == TOUCH, F.col(running)).otherwise(-F.col(running)))
 
-    return (
+    per_block = (
         summed.where(F.col("rank") != CONVERSION)
-        .groupBy("user_id", F.col("touch.touch_id").alias("touch_id"))
+        .groupBy(*keys, F.col("touch.touch_id").alias("touch_id"))
         .agg(
             F.max("touch").alias("touch"),
-            gained("value_after").alias("value"),
-            gained("orders_after").alias("orders"),
-        )
-        .select(
-            "user_id",
-            "touch.*",
-            F.lit("linear" if half_life_days is None else "time_decay").alias("attribution_model"),
-            (weight * F.col("value").cast("double")).alias("credited_revenue"),
-            (weight * F.col("orders").cast("double")).alias("credited_orders"),
+            F.max("touch_t").alias("touch_t"),
+            gained("value_after").cast("double").alias("value"),
+            gained("orders_after").cast("double").alias("orders"),
         )
+        .select("user_id", "touch", (weight * F.col("value")).alias("revenue"), (weight * F.col("orders")).alias("orders"))
+    )
+    if not linear:
+        per_block = per_block.groupBy("user_id", "touch").agg(F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"))
+    return per_block.select(
+        "user_id",
+        "touch.*",
+        F.lit("linear" if linear else "time_decay").alias("attribution_model"),
+        F.col("revenue").alias("credited_revenue"),
+        F.col("orders").alias("credited_orders"),
     )
 
 
@@ -158,8 +175,8 @@ def linear(touches, conversions, days: int = 30, dims=("campaign_id", "ad_id"))
     return shared_credit(touches, conversions, days, None, dims)
 
 
-def time_decay(touches, conversions, days: int = 30, half_life_days: float = 7.0, dims=("campaign_id", "ad_id"), **kw):
-    return shared_credit(touches, conversions, days, half_life_days, dims, **kw)
+def time_decay(touches, conversions, days: int = 30, half_life_days: float = 7.0, dims=("campaign_id", "ad_id")):
+    return shared_credit(touches, conversions, days, half_life_days, dims)
 
 
 def credit_by(

@@ -69,7 +69,7 @@ def utm_order_mapping(orders: DataFrame, window: DateWindow | None = None, batch
         null.alias("ad_name"),
         channel.alias("channel"),
         ruled["sub_channel"].alias("sub_channel"),
-        F.lit("attribution_engine").alias("data_source"),
+        F.lit("order_utm").alias("data_source"),
         F.lit(batch_id).alias("batch_id"),
     )
 
@@ -86,14 +86,12 @@ REQUIRED = ["order_id", "order_date", "order_value", "utm_source", "utm_medium",
 def hourly_utm_metrics(mapping: DataFrame, sessions: DataFrame, batch_id: str = "batch") -> DataFrame:
     """Sessions, customers, orders and revenue per hour and UTM dimension.
 
-    An order maps to one session, so orders and sessions are counted as rows;
-    only visitors and customers need distinct counts.
+    An order maps to one session, and a session stored several times counts
+    once, so orders and sessions are counted as rows; only visitors and
+    customers need distinct counts.
     """
-    joined = mapping.join(
-        sessions.select("session_token", "visitor_id", "customer_id", F.col("session_token").alias("_session")),
-        "session_token",
-        "left",
-    )
+    once = sessions.groupBy("session_token").agg(F.max("visitor_id").alias("visitor_id"), F.max("customer_id").alias("customer_id"))
+    joined = mapping.join(once.withColumn("_session", F.col("session_token")), "session_token", "left")
     hour = F.hour("order_date")
     orders = F.count(F.lit(1))
     sessions_seen = F.count("_session")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from adtrail.functions import channels, journey, text
 from adtrail.functions.measures import half_up, to_number
+from adtrail.functions.text import wall_clock
 from adtrail.operators import adlevel, ads, granular, mapping, platforms, products, quality, reports, sessions, sku, touch, utm
 from adtrail.operators.attribution import attribute, with_ad_id, with_channels, with_touch
 from adtrail.operators.orders import fold_lines, priced_lines
@@ -144,7 +145,9 @@ def utm_order_scan(t):
 
 @query
 def source_profile(t):
-    orders = order_window(t.orders())
+    orders = t.orders()
+    if "order_date" not in orders.columns:
+        orders = orders.withColumn("order_date", F.to_date(wall_clock("created_at_ist")))
     return profile({"orders": (orders, "order_date"), "ads": (t.ads(), "date_start")}, DateWindow(date(2024, 1, 10), date(2024, 1, 20)))
 
 
@@ -311,7 +314,7 @@ def granular_hourly(t):
 
 @query
 def granular_order_ids(t):
-    return granular.order_ids_by_hour(t.raw(lines=False)).drop("part", "parts")
+    return granular.order_ids_by_hour(t.raw(lines=False))
 
 
 @query
@@ -433,7 +436,7 @@ def top_campaigns_by_roas(t):
 
 @query
 def attribution_rate_by_channel(t):
-    return warehouse.attribution_rate_by_channel(t.raw(False, False), AS_OF, 14)
+    return warehouse.attribution_rate_by_channel(t.raw(False, False), AS_OF)
 
 
 # --- SKU-to-ad mapping ---------------------------------------------------------------
@@ -461,7 +464,7 @@ for _name in (
 
 @query
 def daily_trend(t):
-    return mapping_views.daily_trend(t.mapped(), AS_OF, 14)
+    return mapping_views.daily_trend(t.mapped(), AS_OF)
 
 
 @query
@@ -831,8 +834,9 @@ def run_states(t):
 @query
 def latest_upsert(t):
     events = testbed.with_ad_keys(t.events())
-    early = hourly_metrics(events.where(F.col("event_type") == "view"))
-    late = hourly_metrics(events.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")))
+    bought = F.col("event_type") == "purchase"
+    early = hourly_metrics(events.where(~bought))
+    late = hourly_metrics(events.where(bought | (F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz"))))
     return sinks.merge_latest(early, late, ["date_start", "hour_start", "ad_id"]).drop("window_start")
 
 

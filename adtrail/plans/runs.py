@@ -5,9 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from adtrail.functions.text import wall_clock
 from adtrail.operators import ads as ad_ops
-from adtrail.operators import granular, mapping, reports, utm
+from adtrail.operators import granular, mapping, quality, reports, utm
 from adtrail.operators.adlevel import ad_level_summary
 from adtrail.operators.attribution import attribute
 from adtrail.plans import mapping_views, utm_views, warehouse
@@ -28,55 +31,74 @@ class Store:
 def attribution_run(store: Store, window: DateWindow, out: str, batch_id: str) -> dict[str, DataFrame]:
     """Attribute the window's orders, store them, and derive every report from what was stored.
 
-    The attributed orders are written once, by day, and read back: all reports
-    share that one computation and a lost executor never redoes it.
+    Orders without an id, value or readable time are stored apart, with their
+    reasons. The attributed orders are written once, by day, and read back, and
+    so are the hourly and ad-level tables: reports share that one computation,
+    a lost executor never redoes it, and a repeated run replaces its batch.
     """
     spark = store.orders.sparkSession
-    attributed = attribute(store.orders, store.line_items, store.variants, store.ads, window)
-    raw = f"{out}/attribution_raw/batch_id={batch_id}"
-    attributed.write.mode("overwrite").partitionBy("order_date").parquet(raw)
-    stored = spark.read.schema(attributed.schema).parquet(raw)
+
+    def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        path = f"{out}/{name}/batch_id={batch_id}"
+        if by:
+            df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(by).parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    good, bad = quality.quarantine(store.orders, quality.unusable_order(store.orders))
+    bad = bad.withColumn("order_date", F.to_date(wall_clock("created_at_ist")))
+    rejected = stored(bad.where(F.col("order_date").isNull() | window.covers("order_date")), "rejected_orders")
+    attributed = stored(attribute(good, store.line_items, store.variants, store.ads, window), "attribution_raw", "order_date")
+    tagged_orders = stored(sinks.tag_orders(attributed, batch_id).drop("batch_id"), "attribution_orders", "order_date")
     ads = ads_window(store.ads, window)
     daily = ad_ops.daily_ads(ads)
-    hours = granular.granular_insights(stored, ads)
-    ad_level = ad_level_summary(stored, daily)
-    sinks.granular_export(hours.drop("hourly_window")).write.mode("overwrite").partitionBy("date_start").parquet(
-        f"{out}/granular/batch_id={batch_id}"
-    )
-    tagged = sinks.tag_ads(ad_level, batch_id, window.start, window.end)
-    tagged.write.mode("overwrite").parquet(f"{out}/ad_level/batch_id={batch_id}")
+    hours = granular.granular_insights(attributed, ads, order_ids=True)
+    hours = stored(sinks.granular_export(hours), "granular", "date_start")
+    ad_level = ad_level_summary(attributed, daily)
+    tagged = stored(sinks.tag_ads(ad_level, batch_id, window.start, window.end).drop("batch_id"), "ad_level").withColumn("batch_id", F.lit(batch_id))
+    register(ORDER_VIEWS, attributed)
+    register(AD_LEVEL_VIEWS, tagged)
     return {
-        "attributed": stored,
+        "rejected": rejected,
+        "attributed": attributed,
+        "orders": tagged_orders,
         "granular": hours,
         "ad_level": tagged,
-        "channel_breakdown": reports.channel_breakdown(stored),
-        "source_breakdown": reports.source_breakdown(stored),
-        "campaign_performance": reports.campaign_performance(stored, daily),
-        "grand_totals": reports.grand_totals(stored),
-        "batch_metrics": reports.batch_metrics(stored, ad_level),
+        "channel_breakdown": reports.channel_breakdown(attributed),
+        "source_breakdown": reports.source_breakdown(attributed),
+        "campaign_performance": reports.campaign_performance(attributed, daily),
+        "grand_totals": reports.grand_totals(attributed),
+        "batch_metrics": reports.batch_metrics(attributed, tagged),
     }
 
 
 def mapping_run(store: Store, window: DateWindow, out: str) -> DataFrame:
-    """Map sold SKUs to ads, append by day, and register the ten views over the result."""
+    """Map sold SKUs to ads, store them by day (days met are replaced), and register the ten views over the result."""
     rows = mapping.order_ad_mapping(store.orders, store.line_items, store.variants, store.ads, window)
-    sinks.append_partitioned(rows, f"{out}/order_ad_mapping", "order_date")
+    sinks.write_partitioned(rows, f"{out}/order_ad_mapping", "order_date")
     stored = store.orders.sparkSession.read.schema(rows.schema).parquet(f"{out}/order_ad_mapping")
     register(MAPPING_VIEWS, stored)
     return stored
 
 
 def utm_run(store: Store, window: DateWindow, out: str, batch_id: str) -> dict[str, DataFrame]:
-    """Sessions, order mapping and hourly metrics, upserted; then the purchase analysis."""
+    """Sessions, order mapping and hourly metrics, stored by day; then the purchase analysis over what was stored."""
     spark = store.orders.sparkSession
-    sessions = utm.utm_sessions(store.orders, window)
-    mapped = utm.utm_order_mapping(store.orders, window, batch_id)
+
+    def stored(df: DataFrame, name: str, time: str) -> DataFrame:
+        sinks.write_partitioned(df.withColumn("day", F.to_date(time)), f"{out}/{name}", "day")
+        rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("day", T.DateType())])).parquet(f"{out}/{name}")
+        return rows.where(window.covers("day")).drop("day")
+
+    sessions = stored(utm.utm_sessions(store.orders, window), "utm_sessions", "session_start_time")
+    mapped = stored(utm.utm_order_mapping(store.orders, window, batch_id), "utm_order_mapping", "order_date")
     hourly = utm.hourly_utm_metrics(mapped, sessions, batch_id)
     path = f"{out}/utm_hourly_metrics"
     sinks.upsert_partitions(spark, hourly, path, sinks.HOURLY_KEY)
-    stored = spark.read.schema(hourly.schema).parquet(path)
-    analysis = utm.hourly_purchase_analysis(utm.newest_batch(stored), store.ads, window)
-    return {"sessions": sessions, "mapping": mapped, "hourly": stored, "analysis": analysis, **utm.analysis_summaries(analysis)}
+    metrics = spark.read.schema(hourly.schema).parquet(path)
+    analysis = utm.hourly_purchase_analysis(utm.newest_batch(metrics), store.ads, window)
+    return {"sessions": sessions, "mapping": mapped, "hourly": metrics, "analysis": analysis, **utm.analysis_summaries(analysis)}
 
 
 ORDER_VIEWS = {

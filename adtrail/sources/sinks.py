@@ -59,14 +59,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def append_partitioned(df: DataFrame, path: str, by: str, files_per_value: int = 8) -> None:
-    """Append, one folder per value of ``by``.
+def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "overwrite") -> None:
+    """One folder per value of ``by``; adaptive execution sizes the files, so a large value has many writers.
 
-    Rows of one value go to up to ``files_per_value`` tasks, so a day that
-    holds a third of the rows is not written by a single task.
+    ``mode`` overwrite replaces the folders of the values that ``df`` holds and
+    leaves the others, so a run that is repeated stores its rows once.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
-    df.repartition(F.col(by), spread).write.mode("append").partitionBy(by).parquet(path)
+    df.hint("rebalance", by).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
 def tag_orders(attributed: DataFrame, batch_id: str) -> DataFrame:

@@ -31,7 +31,7 @@ SQL["utm_order_scan"] = f"""SELECT order_id, order_name, {ts('order_ts')} AS ord
     WHERE cancelled_at_ist IS NULL AND (d_source IS NOT NULL OR d_medium IS NOT NULL)"""
 _PROFILE = """SELECT '{0}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count, strftime(MIN({1}), '%Y-%m-%d') AS min_date, strftime(MAX({1}), '%Y-%m-%d') AS max_date,
     CAST(COUNT(*) FILTER (WHERE {1} BETWEEN DATE '2024-01-10' AND DATE '2024-01-20') AS BIGINT) AS rows_in_window FROM {2}"""
-SQL["source_profile"] = _PROFILE.format("orders", "order_date", "ord WHERE cancelled_at_ist IS NULL") + " UNION ALL " + _PROFILE.format("ads", "date_start", "ads")
+SQL["source_profile"] = _PROFILE.format("orders", "order_date", "ord") + " UNION ALL " + _PROFILE.format("ads", "date_start", "ads")
 SQL["newest_parameters"] = f"""SELECT pipeline_run_id, batch_id, {ts('execution_start_time')} AS created_at FROM rlog
     WHERE execution_status = 'SUCCESS' ORDER BY execution_start_time DESC LIMIT 1"""
 
@@ -275,7 +275,7 @@ SQL["channel_performance_summary"] = f"""SELECT channel, {bigs('unique_campaigns
     {div('total_sales', 'total_spend', 1, 4)} AS roas, {div('total_net_profit', 'total_sales', 100, 2)} AS profit_margin_percent FROM (
     SELECT channel, COUNT(DISTINCT campaign_id) AS unique_campaigns, COUNT(DISTINCT ad_id) AS unique_ads, {_LSUM} FROM lev GROUP BY channel)"""
 SQL["top_campaigns_by_roas"] = f"SELECT * FROM ({_CSUM}) WHERE total_sales > 10000 ORDER BY roas DESC, total_sales DESC, campaign_name, channel LIMIT 10"
-SQL["attribution_rate_by_channel"] = f"SELECT channel, {t('orders', 'att')}, {t('rate')}_percent FROM act WHERE order_date >= DATE '2024-01-16' GROUP BY channel"
+SQL["attribution_rate_by_channel"] = f"SELECT channel, {t('orders', 'att')}, {t('rate')}_percent FROM act GROUP BY channel"
 
 # --- SKU-to-ad mapping ---------------------------------------------------------------
 SQL["order_ad_mapping"] = f"""SELECT order_id, order_name, {day('order_date')} AS order_date, {dbl('order_value')} AS order_value, 'INR' AS order_currency, ad_id,
@@ -324,7 +324,7 @@ SQL["best_sku_ads"] = m(f"{dbl(_R)} AS revenue, {per(_R, _S, 'roas')}", "sku, pr
     f"HAVING {_S} > 0 ORDER BY roas DESC, revenue DESC, sku, product_title, ad_name, campaign_name LIMIT 10")
 SQL["underperforming_ads"] = m(f"{dbl(_R)} AS revenue, {dbl(_S)} AS spend, {per(_R, _S, 'roas')}", _AD, f"HAVING {_S} > 100 ORDER BY roas, spend DESC, {_AD} LIMIT 10")
 SQL["daily_trend"] = f"""SELECT {day('order_date')} AS order_date, {big(_OD)} AS orders, {dbl(_R)} AS revenue, {per(_R, _S, 'roas')} FROM mapp
-    WHERE order_date >= DATE '2024-01-16' GROUP BY order_date"""
+    GROUP BY order_date"""
 SQL["mapping_spend_once"] = f"""SELECT campaign_name, {dbl('SUM(s)')} AS spend_once FROM (SELECT DISTINCT campaign_name, order_date, ad_id, ad_spend AS s FROM mapp) GROUP BY campaign_name"""
 
 # --- UTM model -------------------------------------------------------------------------
@@ -335,7 +335,7 @@ SQL["utm_sessions"] = f"""SELECT 'session_' || order_id AS session_token, CAST(N
 SQL["utm_order_mapping"] = f"""SELECT order_id, order_name, {ts('order_ts')} AS order_date, {dbl('order_value')} AS order_value, 'INR' AS order_currency,
     'session_' || order_id AS session_token, 'last_click' AS attribution_model, CAST(1.0 AS DOUBLE) AS attribution_weight, TRUE AS is_primary_attribution, {_DUTM}, campaign_id,
     {', '.join(f'CAST(NULL AS VARCHAR) AS {c}' for c in ('campaign_name', 'adset_id', 'adset_name', 'ad_name'))}, ad_id, channel, sub_channel,
-    'attribution_engine' AS data_source, {BATCH} AS batch_id FROM umap"""
+    'order_utm' AS data_source, {BATCH} AS batch_id FROM umap"""
 SQL["utm_hourly_metrics"] = f"""SELECT {day('date_start')} AS date_start, {big('hour_start')} AS hour_start, hour_window, campaign_id, ad_id,
     {', '.join(f'CAST(NULL AS VARCHAR) AS {c}' for c in ('campaign_name', 'adset_id', 'adset_name', 'ad_name'))}, {UTM}, channel, sub_channel,
     {bigs('total_sessions', 'unique_visitors', 'unique_customers', 'total_conversions', 'total_orders', 'attributed_orders')},
@@ -624,7 +624,7 @@ SQL["run_states"] = f"""SELECT pipeline_run_id, {ts('execution_start_time')} AS
 _HOURS = f"""SELECT {day('ts')} AS date_start, {big('hour(ts)')} AS hour_start, printf('%02d:00:00 - %02d:59:59', hour(ts), hour(ts)) AS hour_window, ad_id,
     {cond("event_type = 'view'")} AS impressions, {cond("event_type = 'click'")} AS clicks, {dbl("COALESCE(SUM(value) FILTER (WHERE event_type IN ('view', 'click')), 0)")} AS spend,
     {cond("event_type = 'purchase'")} AS purchases, {dbl("COALESCE(SUM(value) FILTER (WHERE event_type = 'purchase'), 0)")} AS revenue FROM evk {{0}} GROUP BY 1, 2, 3, 4"""
-_LATE, _EARLY = _HOURS.format("WHERE ts >= TIMESTAMP '2024-01-15'"), _HOURS.format("WHERE event_type = 'view'")
+_LATE, _EARLY = _HOURS.format("WHERE ts >= TIMESTAMP '2024-01-15' OR event_type = 'purchase'"), _HOURS.format("WHERE event_type <> 'purchase'")
 SQL["latest_upsert"] = f"SELECT * FROM ({_LATE}) UNION ALL SELECT e.* FROM ({_EARLY}) e ANTI JOIN ({_LATE}) l USING (date_start, hour_start, ad_id)"
 SQL["rule_seed_insert"] = """SELECT p.*, CAST(NULL AS VARCHAR) AS utm_campaign_pattern, 'Custom' AS channel, CAST(3 AS BIGINT) AS priority FROM (
     SELECT DISTINCT CASE WHEN d_source = 'blog' THEN 'referral' ELSE d_source END AS utm_source_pattern, CASE WHEN d_source <> 'blog' THEN d_medium END AS utm_medium_pattern

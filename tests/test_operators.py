@@ -5,7 +5,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from adtrail.operators import adlevel, ads, granular, mapping, orders, products, quality, sku
+from adtrail.functions.text import wall_clock
+from adtrail.operators import adlevel, ads, granular, mapping, orders, products, quality, sku, utm
 from adtrail.operators.attribution import attribute
 from adtrail.plans import runs
 from adtrail.sources import sinks, tables, testbed
@@ -66,18 +67,16 @@ def test_granular_null_keys_meet(spark, store, attributed):
     assert len(merged) == 1 and merged[0].has_ads and merged[0].has_orders
 
 
-def test_order_id_lists_are_whole_when_cut(attributed):
-    whole = granular.order_ids_by_hour(attributed)
-    assert whole.where("parts > 1").count() == 0
-    cut = granular.order_ids_by_hour(attributed, per_row=2)
-    assert cut.where("parts > 1").count() > 0
+def test_order_id_lists_are_whole(attributed):
     count = F.sum(F.size(F.split("order_ids", ", ")))
-    assert cut.agg(count).first()[0] == whole.agg(count).first()[0] == attributed.count()
+    for dealt in (1, 7):
+        assert granular.order_ids_by_hour(attributed, dealt).agg(count).first()[0] == attributed.count()
 
 
 def test_granular_with_ids_has_the_export_columns(store, attributed):
     rows = sinks.granular_export(granular.granular_insights(attributed, store.ads, order_ids=True))
     assert rows.columns == sinks.GRANULAR_EXPORT
+    assert rows.where("order_ids <> ''").agg(F.sum(F.size(F.split("order_ids", ", ")))).first()[0] == attributed.count()
 
 
 def test_ad_level_spend_once_sums_to_spend(store, attributed):
@@ -134,10 +133,10 @@ def test_upsert_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_append_spreads_a_day_over_files(spark, tmp_path):
+def test_a_repeated_write_replaces_its_days(spark, tmp_path):
     df = spark.range(1000).withColumn("order_date", F.lit("2024-01-01"))
-    sinks.append_partitioned(df, str(tmp_path / "m"), "order_date", 4)
-    sinks.append_partitioned(df, str(tmp_path / "m"), "order_date", 4)
+    for rows in (df.withColumn("order_date", F.lit("2024-01-02")), df, df):
+        sinks.write_partitioned(rows, str(tmp_path / "m"), "order_date")
     assert spark.read.parquet(str(tmp_path / "m")).count() == 2000
 
 
@@ -181,10 +180,42 @@ def test_runs_store_what_they_report(spark, store, tmp_path):
     assert out["channel_breakdown"].agg(F.sum("orders")).first()[0] == out["attributed"].count()
     hours = spark.read.parquet(f"{tmp_path}/granular/batch_id=b1")
     assert hours.agg(F.sum("shopify_orders")).first()[0] == out["attributed"].count()
+    assert hours.select(*sinks.GRANULAR_EXPORT).where("order_ids <> ''").agg(F.sum(F.size(F.split("order_ids", ", ")))).first()[0] == out["attributed"].count()
+    assert spark.sql("select sum(total_orders) from v_channel_performance").first()[0] == out["attributed"].count()
+    runs.mapping_run(store, WINDOW, str(tmp_path))
+    before = spark.read.parquet(f"{tmp_path}/order_ad_mapping").count()
     stored = runs.mapping_run(store, WINDOW, str(tmp_path))
+    assert stored.count() == before
     assert spark.sql("select sum(orders) from v_daily_ad_performance").first()[0] == stored.count()
     first = runs.utm_run(store, WINDOW, str(tmp_path), "b1")["hourly"].count()
-    assert runs.utm_run(store, WINDOW, str(tmp_path), "b1")["hourly"].count() == first
+    again = runs.utm_run(store, WINDOW, str(tmp_path), "b1")
+    assert again["hourly"].count() == first
+    assert again["mapping"].count() == again["mapping"].select("order_id").distinct().count() == again["sessions"].count()
+
+
+def test_an_unreadable_time_goes_to_quarantine(spark, store, tmp_path):
+    some = store.orders.limit(30)
+    bad = some.limit(1).withColumns({"order_id": F.lit("gid://x/1"), "created_at_ist": F.lit("bad")})
+    orders = some.unionByName(bad)
+    if "order_date" in orders.columns:
+        orders = orders.withColumn("order_date", F.when(F.col("order_id") == "gid://x/1", None).otherwise(F.col("order_date")))
+    for _ in range(2):
+        out = runs.attribution_run(runs.Store(orders, store.line_items, store.variants, store.ads), WINDOW, str(tmp_path), "b2")
+        assert [r.reject_reasons for r in out["rejected"].collect()] == [["unreadable created_at_ist"]]
+        assert out["attributed"].where("order_id = 'gid://x/1'").count() == 0
+
+
+def test_sessions_stored_twice_count_once(store):
+    sessions, mapped = utm.utm_sessions(store.orders, WINDOW), utm.utm_order_mapping(store.orders, WINDOW, "b")
+    total = lambda s: utm.hourly_utm_metrics(mapped, s, "b").agg(F.sum("total_orders"), F.sum("total_revenue")).first()
+    assert total(sessions) == total(sessions.unionByName(sessions))
+
+
+def test_wall_clock_reads_what_it_can(spark):
+    texts = ["2025-07-01 00:59:44+0530", "2025-07-01 00:59", "2025-07-01T00:59:44.25Z", "2025-07-01", "bad", "2025-13-01 00:00:00", "", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string")
+    got = [str(r.t) for r in df.select("i", wall_clock("x").alias("t")).orderBy("i").collect()]
+    assert got == ["2025-07-01 00:59:44", "2025-07-01 00:59:00", "2025-07-01 00:59:44.250000", "2025-07-01 00:00:00", "None", "None", "None", "None"]
 
 
 def test_csv_sources(spark, tmp_path):

@@ -53,7 +53,7 @@ def expected_credit(data, days, half_life):
     return credit
 
 
-@pytest.mark.parametrize("half_life", [None, 1.5])
+@pytest.mark.parametrize("half_life", [None, 1 / 24, 1.0, 1.5, 7.0])
 def test_shared_credit(frames, data, half_life):
     got = {r.touch_id: r.credited_revenue for r in touch.shared_credit(*frames, days=7, half_life_days=half_life).collect()}
     want = expected_credit(data, 7, half_life)
@@ -61,6 +61,31 @@ def test_shared_credit(frames, data, half_life):
     assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
 
 
+@pytest.mark.parametrize("half_life", [1 / 24, 1.0, 7.0])
+def test_decay_at_any_date(spark, data, half_life):
+    moved = timedelta(days=366 * 2 + 310)
+    late = tuple([tuple(x + moved if isinstance(x, datetime) else x for x in row) for row in rows] for rows in data)
+    t = spark.createDataFrame(late[0], "user_id long, touch_id long, touch_time timestamp_ntz, campaign_id string, ad_id string")
+    c = spark.createDataFrame(late[1], "user_id long, order_id long, order_time timestamp_ntz, order_value double")
+    got = {r.touch_id: r.credited_revenue for r in touch.shared_credit(t, c, days=7, half_life_days=half_life).collect()}
+    want = expected_credit(late, 7, half_life)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_a_look_back_of_too_many_half_lives_is_refused(frames):
+    with pytest.raises(ValueError, match="half-lives"):
+        touch.time_decay(*frames, days=30, half_life_days=0.01)
+
+
+def test_rows_without_a_user_stay(spark, data):
+    anonymous = lambda rows: [(None if r[0] == 1 else r[0], *r[1:]) for r in rows]
+    t = spark.createDataFrame(anonymous(data[0]), "user_id long, touch_id long, touch_time timestamp_ntz, campaign_id string, ad_id string")
+    c = spark.createDataFrame(anonymous(data[1]), "user_id long, order_id long, order_time timestamp_ntz, order_value double")
+    got = {r.touch_id: r.credited_revenue for r in touch.linear(t, c, days=7).collect()}
+    want = expected_credit(data, 7, None)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
 @pytest.mark.parametrize("first", [True, False])
 def test_single_touch(frames, data, first):
     touches, conversions = data
@@ -88,12 +113,12 @@ def test_windows(frames, data):
     assert got == {d: sum(1 for c in conversions if alive(touches, c, d)) for d in (1, 7, 28)}
 
 
-def test_crowded_segments_give_the_same(spark):
+def test_segment_width_does_not_matter(spark):
     rows = [(1, i * 1_000_000 // 3, i, 1 if i % 4 else None) for i in range(400)] + [(2, i * 86_400_000_000, i, 1) for i in range(5)]
     df = spark.createDataFrame(rows, "k long, t long, id long, v long")
     frames = {}
-    for name, limit in (("split", 10), ("whole", 1_000_000)):
-        laid = timeline.with_segments(df, ["k"], "t", split_over=limit)
+    for name, width in (("split", 1_000_000), ("whole", 86_400_000_000)):
+        laid = timeline.with_segments(df, ["k"], "t", width_us=width)
         if name == "split":
             assert laid.where("k = 1").select(timeline.SEGMENT).distinct().count() > 100
         summed = timeline.running_sums(laid, ["k"], ["t", "id"], {"s": F.col("v")})
@@ -110,7 +135,7 @@ def test_crowded_segments_give_the_same(spark):
 
 def test_sessions(spark):
     at = lambda m: START + timedelta(minutes=m)
-    rows = [(1, 1, at(0), "view", 0.0), (1, 2, at(20), "purchase", 9.0), (1, 3, at(51), "view", 0.0), (2, 4, at(1430), "view", 0.0), (2, 5, at(1450), "click", 1.0)]
+    rows = [(1, 1, at(0), "view", 0.0), (1, 2, at(20), "purchase", 9.0), (1, 3, at(51), "view", 0.0), (2, 4, at(1430), "view", 0.0), (2, 5, at(1450), "click", 1.0), (None, 6, at(1), "view", 0.0), (None, 7, at(90), "view", 0.0)]
     df = spark.createDataFrame(rows, "user_id long, event_id long, ts timestamp_ntz, event_type string, value double")
-    got = sorted((r.user_id, r.events, r.pageviews_count, r.conversions, r.time_on_site_seconds) for r in sessions.sessionize(df).collect())
-    assert got == [(1, 1, 1, 0, 0.0), (1, 2, 1, 1, 1200.0), (2, 2, 1, 0, 1200.0)]
+    got = sorted((r.user_id or 0, r.events, r.pageviews_count, r.conversions, r.time_on_site_seconds) for r in sessions.sessionize(df).collect())
+    assert got == [(0, 1, 1, 0, 0.0), (0, 1, 1, 0, 0.0), (1, 1, 1, 0, 0.0), (1, 2, 1, 1, 1200.0), (2, 2, 1, 0, 1200.0)]
