@@ -46,7 +46,7 @@ def folder(spark, tmp_path_factory):
     at = tmp_path_factory.mktemp("tables")
     spark.createDataFrame(documents(), DOCS).repartition(3).write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame(PAGES, "page_id long, url string, html string").repartition(2).write.parquet(f"{at}/pages.parquet")
-    items = [(1, documents()[30][1].split(" ", 3)[3][:300]), (2, None), (3, ""), (4, "too short")]
+    items = [(1, documents()[60][1]), (2, None), (3, ""), (4, "too short")]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
     return str(at)
 
