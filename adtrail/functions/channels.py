@@ -197,20 +197,32 @@ def ruled_channel(source, medium, campaign, content, rules=None) -> Column:
     return chain
 
 
-def rules_from_table(table, limit: int = 10_000):
-    """Active rules of a utm_channel_mapping table, as ``ruled_channel`` takes them.
+def ruled_by_table(df, table, columns: list[str], out: str = "rule"):
+    """``df`` with the best active rule of a rule table as a struct (null where none fits).
 
-    The table is hand-kept configuration; its size is checked before it is read.
+    ``columns`` are the source, medium, campaign and content columns. Each
+    distinct tuple of them meets the rules once; the rules, hand-kept
+    configuration, are one array inside the plan, so patterns need no join of
+    every tuple with every rule. Equal priorities go by the lower rule id.
     """
-    columns = [
-        "utm_source_pattern", "utm_medium_pattern", "utm_campaign_pattern", "utm_content_pattern",
-        *RULE_OUTPUTS, "priority",
-    ]
-    active = table.where("is_active").orderBy("rule_id").select(*columns)
-    rows = active.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} channel rules: this is not a rule table")
-    return [tuple(r) for r in rows]
+    patterns = ["utm_source_pattern", "utm_medium_pattern", "utm_campaign_pattern", "utm_content_pattern"]
+    rank = [F.col("priority").alias("priority"), (-F.col("rule_id")).alias("last")]
+    rules = table.where("is_active").agg(F.collect_list(F.struct(*rank, *RULE_OUTPUTS, *patterns))).scalar()
+    tuples = df.select(*columns).distinct().withColumn("_rules", rules)
+
+    def fits(rule):
+        each = [
+            F.when(rule[p].isNull(), F.col(c).isNull()).otherwise(F.coalesce(F.regexp_like(F.col(c), rule[p]), F.lit(False)))
+            for c, p in zip(columns, patterns)
+        ]
+        return reduce(lambda a, b: a & b, each)
+
+    best = F.array_max(F.filter("_rules", fits))
+    found = tuples.select(
+        *[F.col(c).alias(f"_of_{c}") for c in columns], F.when(best.isNotNull(), F.struct(*[best[o].alias(o) for o in RULE_OUTPUTS])).alias(out)
+    )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in columns])
+    return df.join(found, same, "left").drop(*[f"_of_{c}" for c in columns])
 
 
 def platform_of(source, medium) -> Column:

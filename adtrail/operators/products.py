@@ -29,37 +29,24 @@ def search_terms(book: DataFrame, order: str) -> DataFrame:
     )
 
 
-def match_products(names: DataFrame, terms: DataFrame, name: str, max_inline: int = 500) -> DataFrame:
-    """(name, product) for every distinct ad name: first listed product with a term inside it."""
-    distinct = names.select(name).distinct()
-    listed = terms.orderBy("product_order", "term").limit(max_inline + 1).collect()
-    if len(listed) <= max_inline:
-        # A product book is a page of text: its terms fit into one expression.
-        low = F.lower(F.coalesce(name, F.lit("")))
-        chain = F
-        for row in listed:
-            chain = chain.when(low.contains(row["term"]), row["product"])
-        found = chain.otherwise(NO_PRODUCT) if listed else F.lit(NO_PRODUCT)
-        return distinct.select(name, found.alias("product"))
-    return match_by_substring(distinct, terms, name)
-
-
-def match_by_substring(distinct: DataFrame, terms: DataFrame, name: str) -> DataFrame:
-    """The same match as an equi-join, for term lists of any size.
+def match_products(names: DataFrame, terms: DataFrame, name: str) -> DataFrame:
+    """(name, product) for every distinct ad name: first listed product with a term inside it.
 
     Every name is cut into its substrings of the lengths terms have; a term is
     inside the name exactly when it equals one of them. Work grows with name
-    length times the number of term lengths, not with names times terms.
+    length times the number of term lengths, not with names times terms, and
+    the lengths are read inside the plan.
     """
+    lengths = terms.agg(F.collect_set(F.length("term"))).scalar()  # no more than the longest term has characters
+    distinct = names.select(name).distinct().withColumn("_lengths", lengths)
     low = F.lower(F.coalesce(name, F.lit("")))
-    lengths = [r[0] for r in terms.select(F.length("term")).distinct().orderBy(1).collect()]
 
-    def cut(size: int):
+    def cut(size):
         starts = F.sequence(F.lit(1), F.length(low) - (size - 1))
-        pieces = F.transform(starts, lambda start: F.substring(low, start, F.lit(size)))
+        pieces = F.transform(starts, lambda start: F.substring(low, start, size))
         return F.when(F.length(low) >= size, pieces).otherwise(F.array().cast("array<string>"))
 
-    cuts = F.flatten(F.array(*[cut(n) for n in lengths]))
+    cuts = F.flatten(F.transform("_lengths", cut))
     pieces = distinct.select(name, F.explode(F.array_distinct(cuts)).alias("term"))
     best = (
         pieces.join(terms, "term")
@@ -72,9 +59,9 @@ def match_by_substring(distinct: DataFrame, terms: DataFrame, name: str) -> Data
     )
 
 
-def tag_products(ads: DataFrame, book: DataFrame, order: str, name: str = "Ad name", max_inline: int = 500) -> DataFrame:
+def tag_products(ads: DataFrame, book: DataFrame, order: str, name: str = "Ad name") -> DataFrame:
     """Ad rows with the matched product, its price and margin."""
-    matched = match_products(ads, search_terms(book, order), name, max_inline)
+    matched = match_products(ads, search_terms(book, order), name)
     prices = book.groupBy("Product").agg(
         F.min(F.struct(order, "Price", "Margin")).alias("_p")
     ).select("Product", F.col("_p.Price").alias("Price"), F.col("_p.Margin").alias("Margin"))

@@ -191,6 +191,15 @@ def regex_channel_rules(t):
     return t.orders().withColumn("rule", result).select("order_id", "rule.*")
 
 
+@query
+def rule_table_channels(t):
+    columns = ["utm_source_pattern", "utm_medium_pattern", "utm_campaign_pattern", "utm_content_pattern", *channels.RULE_OUTPUTS, "priority"]
+    kinds = ", ".join([*[f"{c} string" for c in columns[:-1]], "priority int"])
+    table = t.spark.createDataFrame(channels.CHANNEL_RULES, kinds).withColumns({"rule_id": F.monotonically_increasing_id(), "is_active": F.lit(True)})
+    ruled = channels.ruled_by_table(t.orders(), table, [f"customer_utm_{f}" for f in ("source", "medium", "campaign", "content")])
+    return ruled.select("order_id", "rule.*")
+
+
 @query
 def source_dictionary(t):
     return t.orders().select("order_id", channels.mapped_channel("customer_utm_source", "Other").alias("channel"))
@@ -681,7 +690,7 @@ def product_match(t):
 def product_match_by_substring(t):
     names = testbed.ad_export(t.spark, t.sf)
     terms = products.search_terms(testbed.product_book(t.spark), "book_order")
-    return products.match_products(names, terms, "Ad name", max_inline=0).withColumnRenamed("Ad name", "ad_name")
+    return products.match_products(names, terms, "Ad name").withColumnRenamed("Ad name", "ad_name")
 
 
 @query

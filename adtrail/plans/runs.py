@@ -58,6 +58,8 @@ def attribution_run(store: Store, window: DateWindow, out: str, batch_id: str) -
     ad_level = ad_level_summary(attributed, daily)
     tagged = stored(sinks.tag_ads(ad_level, batch_id, window.start, window.end).drop("batch_id"), "ad_level").withColumn("batch_id", F.lit(batch_id))
     register(ORDER_VIEWS, attributed)
+    funnel = lambda rows: warehouse.attribution_funnel(rows, warehouse.campaign_totals(daily))
+    register({"v_attribution_funnel_analysis": funnel}, attributed)
     register(AD_LEVEL_VIEWS, tagged)
     return {
         "rejected": rejected,
@@ -97,6 +99,8 @@ def utm_run(store: Store, window: DateWindow, out: str, batch_id: str) -> dict[s
     path = f"{out}/utm_hourly_metrics"
     sinks.upsert_partitions(spark, hourly, path, sinks.HOURLY_KEY)
     metrics = spark.read.schema(hourly.schema).parquet(path)
+    performance = utm_views.utm_ad_hourly_performance(utm.newest_batch(metrics), store.ads, window.end, (window.end - window.start).days)
+    register({"v_utm_ad_hourly_performance": lambda rows: rows, **UTM_VIEWS}, performance)
     analysis = utm.hourly_purchase_analysis(utm.newest_batch(metrics), store.ads, window)
     return {"sessions": sessions, "mapping": mapped, "hourly": metrics, "analysis": analysis, **utm.analysis_summaries(analysis)}
 
@@ -133,6 +137,9 @@ MAPPING_VIEWS = {
 UTM_VIEWS = {"v_utm_daily_summary": utm_views.utm_daily_summary}
 
 
+MONITORING_VIEWS = {"v_pipeline_monitoring": quality.monitoring}  # over the run log
+
+
 def register(views: dict, base: DataFrame) -> None:
     """Make views available to spark.sql under their names."""
     for name, build in views.items():

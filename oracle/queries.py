@@ -57,6 +57,7 @@ SQL["ads_daily_named"] = _daily(1, "daily_", "daily_revenue", "daily_content_vie
 SQL["channel_classify"] = f"SELECT order_id, {channel_case('d_source', 'd_medium', 'd_campaign', 'd_content', 'd_term')} AS channel FROM ord"
 SQL["utm_channel_classify"] = f"SELECT order_id, {UTM_CHANNEL} AS channel FROM ord"
 SQL["regex_channel_rules"] = "SELECT order_id, channel, sub_channel, channel_category, platform FROM ruled"
+SQL["rule_table_channels"] = SQL["regex_channel_rules"]
 SQL["source_dictionary"] = """SELECT order_id, CASE WHEN d_source IN ('google', 'an', 'Google') THEN 'Google'
     WHEN d_source IN ('facebook', 'Facebook', 'fb', 'instagram', 'ig', 'IGShopping', '{{site_source_name}}') THEN 'Meta'
     WHEN d_source IN ('shopify', 'duckduckgo', 'organic', 'search') THEN 'Organic' WHEN d_source = 'direct' THEN 'Direct'

@@ -105,17 +105,17 @@ def test_mapping_takes_the_day_and_attribution_the_first_day(spark, store):
     assert first.join(earliest, first.attribution_id == earliest.ad_id).where("ad.date_start <> d").count() == 0
 
 
-def test_product_match_ways_agree(spark):
+def test_product_match(spark):
     names = spark.createDataFrame([("Big FMB sale",), ("tote NC",), ("nothing here",), (None,), ("x",)], "name string")
     book = spark.createDataFrame(
         [(0, "Brush", "FMB, MISTBRU", 1.0, 1.0), (1, "Nail", "Nail Cutter, NC,", 1.0, 1.0), (2, "Tote", "TOTE", 1.0, 1.0), (3, "None", None, 1.0, 1.0)],
         "ord int, Product string, Search string, Price double, Margin double",
     )
     terms = products.search_terms(book, "ord")
-    inline = {r.name: r["product"] for r in products.match_products(names, terms, "name").collect()}
-    joined = {r.name: r["product"] for r in products.match_products(names, terms, "name", max_inline=0).collect()}
-    assert inline == joined
-    assert inline["Big FMB sale"] == "Brush" and inline["tote NC"] == "Nail" and inline[None] == products.NO_PRODUCT
+    found = {r.name: r["product"] for r in products.match_products(names, terms, "name").collect()}
+    assert found == {"Big FMB sale": "Brush", "tote NC": "Nail", "nothing here": products.NO_PRODUCT, None: products.NO_PRODUCT, "x": products.NO_PRODUCT}
+    none = products.match_products(names, terms.limit(0), "name").collect()
+    assert {r["product"] for r in none} == {products.NO_PRODUCT}
 
 
 def test_upsert_is_idempotent(spark, tmp_path):
@@ -188,6 +188,8 @@ def test_runs_store_what_they_report(spark, store, tmp_path):
     assert stored.count() == before
     assert spark.sql("select sum(orders) from v_daily_ad_performance").first()[0] == stored.count()
     first = runs.utm_run(store, WINDOW, str(tmp_path), "b1")["hourly"].count()
+    assert spark.sql("select sum(total_orders) from v_utm_daily_summary").first()[0] > 0 and spark.table("v_utm_ad_hourly_performance").count() > 0
+    assert spark.table("v_attribution_funnel_analysis").count() > 0
     again = runs.utm_run(store, WINDOW, str(tmp_path), "b1")
     assert again["hourly"].count() == first
     assert again["mapping"].count() == again["mapping"].select("order_id").distinct().count() == again["sessions"].count()

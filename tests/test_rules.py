@@ -102,16 +102,18 @@ def test_rule_table(spark):
     assert [r.got for r in rows] == [r.expected for r in rows]
 
 
-def test_rules_read_from_a_table_keep_their_order(spark):
+def test_a_rule_table_gives_what_the_rules_give(spark):
     rows = [(i, *r, True) for i, r in enumerate(channels.CHANNEL_RULES)] + [(99, ".*", ".*", ".*", ".*", "X", "X", "x", "x", 99, False)]
     schema = (
         "rule_id int, utm_source_pattern string, utm_medium_pattern string, utm_campaign_pattern string, utm_content_pattern string, "
         "channel string, sub_channel string, channel_category string, platform string, priority int, is_active boolean"
     )
     table = spark.createDataFrame(rows, schema)
-    assert channels.rules_from_table(table) == channels.CHANNEL_RULES
-    with pytest.raises(ValueError):
-        channels.rules_from_table(table, limit=3)
+    values = [None, "facebook", "fb", "google", "Google", "cpc", "social", "display", "direct", "referral", "email", "x"]
+    df = spark.createDataFrame([(s, m, c, None) for s in values for m in values for c in (None, "c")], "s string, m string, c string, n string")
+    got = channels.ruled_by_table(df, table, ["s", "m", "c", "n"]).withColumn("want", channels.ruled_channel("s", "m", "c", "n"))
+    assert got.where(~F.col("rule").eqNullSafe(F.col("want"))).count() == 0 and got.count() == df.count()
+    assert got.where("rule is not null").count() >= 9
 
 
 def test_safe_ratios(spark):
