@@ -9,7 +9,8 @@ The PREFIX words at an anchor are the prefix by which suffixes are parted:
   level (1, 2, 4 ... words), which parts them like the nodes of their suffix tree; those that still stand together at
   depth ``window`` hang under one deep internal node, a repeat;
 * a prefix with more places is lengthened to all ``window`` words at once. Such a prefix is a node at that depth by
-  itself, so only its least document id is needed, which is counted in part before the shuffle.
+  itself, so only its least document id is needed. Places with the same words are folded first, so a passage that a
+  third of the documents hold costs its own words, and one row for each document.
 
 A word is removed if it is covered by a window that also starts in a document with a smaller id. Windows are judged on
 the input. Documents with the same words are one: of such copies only those with the least id are searched.
@@ -91,16 +92,18 @@ def _scan(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _places(texts: DataFrame, window: int) -> DataFrame:
-    """Of documents with their shared anchors: (_id, _key, prefix, lo, words) for prefixes kept short and
-    (_id, _key, node, lo) for windows of prefixes lengthened to a whole window; the other columns are null."""
+    """(_id, _key, prefix, lo, words, content) of documents with their shared anchors: the words of all windows of each.
+
+    Crowded places have no prefix, but the digest of their words as ``content``.
+    """
     kind = texts.schema["_id"].dataType.simpleString()
-    names = ["_id", "_key", "prefix", "lo", "words", "node"]
+    names = ["_id", "_key", "prefix", "lo", "words", "content"]
 
     def run(batches):
-        schema = None
         for batch in batches:
             types = [batch.schema.field("_id").type, pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
             schema = pa.schema(list(zip(names, types)))
+            rowed = lambda out: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
             for start, end in blocks(batch, "_text"):
                 part, out = batch.slice(start, end - start), []
                 rows = zip(part.column("_id").to_pylist(), part.column("_key").to_pylist(), part.column("_text").to_pylist(), part.column("shared").to_pylist(), strict=True)
@@ -111,19 +114,35 @@ def _places(texts: DataFrame, window: int) -> DataFrame:
                     begin = [0, *ends]
                     for anchor in shared:
                         lo, hi = anchor["lo"], anchor["hi"]
-                        if not anchor["crowded"]:
-                            out.append((id, key, anchor["prefix"], lo, joined[begin[lo] : ends[hi + window - 1] - 1], None))
-                        else:
-                            for s in range(lo, hi + 1):
-                                node = hashlib.blake2b(joined[begin[s] : ends[s + window - 1] - 1], digest_size=16).digest()
-                                out.append((id, key, None, s, None, node))
-                        if len(out) > 20_000:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-                            out = []
+                        held = joined[begin[lo] : ends[hi + window - 1] - 1]
+                        crowded = anchor["crowded"]
+                        out.append((id, key, None if crowded else anchor["prefix"], lo, held, hashlib.blake2b(held, digest_size=16).digest() if crowded else None))
+                    if len(out) > 10_000:
+                        yield rowed(out)
+                        out = []
+                if out:
+                    yield rowed(out)
+
+    return texts.mapInArrow(run, f"_id {kind}, _key bigint, prefix bigint, lo int, words binary, content binary")
+
+
+def _whole_prefixes(contents: DataFrame, window: int) -> DataFrame:
+    """(content, at, node) for each window of each content."""
+
+    def run(batches):
+        for batch in batches:
+            for start, end in blocks(batch, "words"):
+                out = []
+                for content, held in zip(*[batch.column(c).slice(start, end - start).to_pylist() for c in ("content", "words")], strict=True):
+                    words = held.split(b" ")
+                    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1).tolist()
+                    begin = [0, *ends]
+                    for at in range(len(words) - window + 1):
+                        out.append((content, at, hashlib.blake2b(held[begin[at] : ends[at + window - 1] - 1], digest_size=16).digest()))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), pa.int32(), pa.binary()))], names=["content", "at", "node"])
 
-    return texts.mapInArrow(run, f"_id {kind}, _key bigint, prefix bigint, lo int, words binary, node binary")
+    return contents.select("content", "words").mapInArrow(run, "content binary, at int, node binary")
 
 
 def deep_nodes(texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -249,10 +268,24 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
 
     places = written(_places(with_texts(wanted, "shared"), window), f"{folder}/places")
     short = _repeats(places.where("prefix is not null").select("_id", "_key", "prefix", "lo", "words"), window)
-    nodes = places.where("node is not null").select("_id", "_key", "node", "lo")
-    least = written(nodes.groupBy("node").agg(F.min("_id").alias("least"), F.max("_id").alias("most"), F.count("*").alias("n"), F.count("_id").alias("named")).where(several).select("node", "least"), f"{folder}/least")
-    long = nodes.join(least, "node").where("_id is null or _id > least").select("_id", "_key", "lo", F.col("lo").alias("hi"))
-    runs = written(short.union(long).groupBy("_id", "_key").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")), f"{folder}/runs")
+    crowded_places = places.where("content is not null")
+    folded = crowded_places.groupBy("content").agg(
+        F.first("words").alias("words"), F.min("_id").alias("least"), F.max("_id").alias("most"), F.count("*").alias("n"), F.count("_id").alias("named")
+    )
+    folded = written(folded, f"{folder}/contents")
+    nodes = written(_whole_prefixes(folded, window), f"{folder}/nodes")
+    known = nodes.join(folded.drop("words"), "content").groupBy("node").agg(
+        F.min("least").alias("least"), F.max("most").alias("most"), F.sum("n").alias("n"), F.sum("named").alias("named")
+    )
+    repeated = written(known.where(several).select("node", "least"), f"{folder}/repeated")
+    # A content has no more windows than its anchor.
+    listed = nodes.join(repeated, "node").groupBy("content").agg(F.collect_list(F.struct("at", "least")).alias("windows"))
+    listed = written(listed, f"{folder}/listed")
+    later = F.filter("windows", lambda w: F.col("_id").isNull() | (F.col("_id") > w["least"]))
+    starts = F.transform(later, lambda w: F.struct((F.col("lo") + w["at"]).alias("lo"), (F.col("lo") + w["at"]).alias("hi")))
+    long = crowded_places.select("_id", "_key", "lo", "content").join(listed, "content").select("_id", "_key", starts.alias("runs")).where(F.size("runs") > 0)
+    found = short.select("_id", "_key", F.array(F.struct("lo", "hi")).alias("runs")).union(long)
+    runs = written(found.groupBy("_id", "_key").agg(F.flatten(F.collect_list("runs")).alias("runs")), f"{folder}/runs")
     cut = written(_kept(with_texts(runs, "runs"), window).distinct(), f"{folder}/cut")
 
     results = written(
