@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from adtrail.functions.measures import safe_div, total
 from adtrail.operators.ads import AD_KEYS, AD_NAMES
 from adtrail.operators.attribution import UTM_COLUMNS
-from adtrail.operators.granular import first_filled
 
 
 def _same(left: str, right: str, columns: list[str]):
@@ -97,18 +96,25 @@ def platform_comparison(attributed: DataFrame, daily: DataFrame) -> DataFrame:
     orders but no ad record are kept with zero platform figures.
     """
     by = [*AD_NAMES, "date_start"]
-    orders = (
-        attributed.where(F.col("campaign_name").isNotNull())
-        .withColumn("date_start", F.to_date("order_ts"))
-        .groupBy(*by)
-        .agg(
-            F.count(F.lit(1)).alias("shopify_orders"),
-            total("order_value").alias("shopify_revenue"),
-            total("total_cogs").alias("shopify_cogs"),
-            total("unique_skus_count").alias("unique_sku_count"),
-            total("total_sku_quantity").alias("total_sku_quantity"),
-            *[first_filled(c, "order_id").alias(c) for c in ("channel", *UTM_COLUMNS)],
-        )
+    # Folded to (ad, day, SKU) first: an order's figures stand on its first SKU, and the list holds each SKU once.
+    texts = ["channel", *UTM_COLUMNS]
+    spread = attributed.where(F.col("campaign_name").isNotNull()).select(
+        *AD_NAMES, F.to_date("order_ts").alias("date_start"), "order_id", *texts,
+        "order_value", "total_cogs", "unique_skus_count", "total_sku_quantity", F.posexplode_outer(F.split("skus", ", ")).alias("_pos", "sku"),
+    )
+    once = lambda value: F.sum(F.when(F.coalesce(F.col("_pos") == 0, F.lit(True)), value).otherwise(F.lit(0)))
+    figures = {
+        "shopify_orders": F.lit(1), "shopify_revenue": F.col("order_value"), "shopify_cogs": F.col("total_cogs"),
+        "unique_sku_count": F.col("unique_skus_count"), "total_sku_quantity": F.col("total_sku_quantity"),
+    }
+    pairs = spread.groupBy(*by, "sku").agg(
+        *[once(value).alias(name) for name, value in figures.items()],
+        *[F.min(F.when(F.col(c) != "", F.struct("order_id", c))).alias(f"_{c}") for c in texts],
+    )
+    orders = pairs.groupBy(*by).agg(
+        *[total(name).alias(name) for name in figures],
+        *[F.min(f"_{c}")[c].alias(c) for c in texts],
+        F.array_join(F.sort_array(F.collect_list("sku")), ", ").alias("unique_skus"),  # no more than the catalogue
     )
     platform = daily.groupBy(*by).agg(
         F.sum("impressions").alias("impressions"),
@@ -126,7 +132,7 @@ def platform_comparison(attributed: DataFrame, daily: DataFrame) -> DataFrame:
                 "impressions", "clicks", "spend", "fb_action_onsite_web_purchase", "fb_value_onsite_web_purchase",
                 "shopify_orders", "shopify_revenue", "shopify_cogs", "unique_sku_count", "total_sku_quantity",
             )],
-            *[F.coalesce(c, F.lit("")).alias(c) for c in ("channel", *UTM_COLUMNS)],
+            *[F.coalesce(c, F.lit("")).alias(c) for c in ("channel", *UTM_COLUMNS, "unique_skus")],
         )
     )
     rated = joined.withColumns(

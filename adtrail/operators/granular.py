@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtrail.functions.measures import total
-from adtrail.functions.text import hour_label, normal_hour_window, normal_id
+from adtrail.functions.text import hour_label, normal_hour_window, normal_id, wall_clock
 from adtrail.operators.ads import AD_KEYS, ad_rates
 from adtrail.operators.attribution import UTM_COLUMNS, classified, direct_with_campaign, reclassified
 
@@ -32,6 +32,13 @@ def hourly_ads(ads: DataFrame) -> DataFrame:
     return keyed.where(F.col("hour_label").isNotNull()).select(*HOUR_KEY, *AD_METRICS)
 
 
+def backfill_times(attributed: DataFrame, orders: DataFrame) -> DataFrame:
+    """Orders without a time get the one their source order was created at; an order kept several times gives the earliest."""
+    base = orders.select(F.col("order_id").alias("_id"), wall_clock("created_at_ist").alias("_t")).groupBy("_id").agg(F.min("_t").alias("_t"))
+    filled = attributed.join(base, F.col("order_id") == F.col("_id"), "left").withColumn("order_ts", F.coalesce("order_ts", "_t"))
+    return filled.drop("_id", "_t")
+
+
 def keyed_orders(attributed: DataFrame) -> DataFrame:
     """Attributed orders with the eight-part hour key."""
     return attributed.withColumns(

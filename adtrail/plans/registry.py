@@ -326,6 +326,13 @@ def granular_order_ids(t):
     return granular.order_ids_by_hour(t.raw(lines=False))
 
 
+@query
+def order_time_backfill(t):
+    rows = t.raw(lines=False).withColumn("order_ts", F.when(F.col("channel") != "Direct", F.col("order_ts")))
+    filled = granular.backfill_times(rows, t.orders())
+    return filled.select("order_id", "order_ts", text.hour_label(F.hour("order_ts")).alias("hour_label"))
+
+
 @query
 def granular_channel_summary(t):
     return granular.channel_summary(granular.granular_insights(t.raw(), t.ads()))

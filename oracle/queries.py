@@ -160,6 +160,7 @@ SQL["granular_order_ids"] = f"""SELECT {AD_KEYS}, {day('order_date')} AS date_st
     FROM (SELECT {_IDKEY}, order_date, printf('%02d:00:00 - %02d:59:59', hour(order_ts), hour(order_ts)) AS hl, order_id FROM raw)
     GROUP BY {AD_KEYS}, order_date, hl"""
 # The report labels a merged key by its first row, so the summary reads the merged rows.
+SQL["order_time_backfill"] = f"""SELECT order_id, {ts('order_ts')} AS order_ts, printf('%02d:00:00 - %02d:59:59', hour(order_ts), hour(order_ts)) AS hour_label FROM raw"""
 SQL["granular_channel_summary"] = f"""SELECT channel, {big('SUM(shopify_orders)')} AS shopify_orders, ROUND(SUM(CAST(shopify_revenue AS DECIMAL(20,2))), 2)::DOUBLE AS shopify_revenue,
     ROUND(SUM(CAST(shopify_cogs AS DECIMAL(20,2))), 2)::DOUBLE AS shopify_cogs FROM ({SQL['granular_hourly']}) GROUP BY channel"""
 SQL["granular_unmatched_summary"] = f"""SELECT channel, {big('SUM(shopify_orders)')} AS shopify_orders, ROUND(SUM(CAST(shopify_revenue AS DECIMAL(20,2))), 2)::DOUBLE AS shopify_revenue
@@ -174,18 +175,21 @@ SQL["ad_level_spend_once"] = f"""SELECT ad_id, campaign_name, channel, {dbl('spe
 _BYDAY = f"""SELECT {_NAMES}, order_date, COUNT(*) AS so, SUM(order_value) AS sr, SUM(total_cogs) AS sc, SUM(unique_skus_count) AS su, SUM(total_sku_quantity) AS sq,
     {', '.join(f"arg_min({c}, order_id) FILTER (WHERE {c} <> '') AS {c}" for c in ['channel', *UTM.split(', ')])}
     FROM raw WHERE campaign_name IS NOT NULL GROUP BY {_NAMES}, order_date"""
-SQL["daily_platform_comparison"] = f"""SELECT {_NAMES}, {day('date_start')} AS date_start, {bigs('impressions', 'clicks')}, {dbl('spend')} AS spend,
+_DAYSKUS = f"""SELECT {_NAMES}, order_date, string_agg(DISTINCT sku, ', ' ORDER BY sku) AS skus FROM raw JOIN lin USING (order_id)
+    WHERE campaign_name IS NOT NULL AND sku IS NOT NULL GROUP BY {_NAMES}, order_date"""
+SQL["daily_platform_comparison"] = f"""SELECT {', '.join(f'd.{c}' for c in _NAMES.split(', '))}, {day('d.date_start')} AS date_start, {bigs('impressions', 'clicks')}, {dbl('spend')} AS spend,
     {big('purchases')} AS fb_action_onsite_web_purchase, {dbl('pvalue')} AS fb_value_onsite_web_purchase, {big('so')} AS shopify_orders,
     {dbl('sr')} AS shopify_revenue, {dbl('sc')} AS shopify_cogs, {big('su')} AS unique_sku_count, {big('sq')} AS total_sku_quantity,
     channel, {UTM}, {div('clicks', 'impressions', 100)} AS ctr, {div('spend', 'impressions', 1000)} AS cpm, {div('spend', 'clicks')} AS cpc,
     {div('pvalue', 'spend')} AS fb_roas, {dbl('sr - sc')} AS shopify_profit, {div('sr', 'spend')} AS shopify_roas,
     {div('so', 'clicks', 100)} AS shopify_conversion_rate, {div('sr', 'so')} AS shopify_avg_order_value, {dbl('sr - pvalue')} AS revenue_difference,
-    {big('so - purchases')} AS orders_difference, {div('sr', 'spend')} - {div('pvalue', 'spend')} AS roas_difference FROM (
+    coalesce(skus, '') AS unique_skus, {big('so - purchases')} AS orders_difference, {div('sr', 'spend')} - {div('pvalue', 'spend')} AS roas_difference FROM (
     SELECT {', '.join(f'COALESCE(p.{c}, o.{c}) AS {c}' for c in _NAMES.split(', '))}, COALESCE(p.date_start, o.order_date) AS date_start,
         COALESCE(impressions, 0) AS impressions, COALESCE(clicks, 0) AS clicks, COALESCE(spend, 0) AS spend, COALESCE(purchases, 0) AS purchases,
         COALESCE(pvalue, 0) AS pvalue, COALESCE(so, 0) AS so, COALESCE(sr, 0) AS sr, COALESCE(sc, 0) AS sc, COALESCE(su, 0) AS su, COALESCE(sq, 0) AS sq,
         {', '.join(f"COALESCE({c}, '') AS {c}" for c in ['channel', *UTM.split(', ')])}
-    FROM daily p FULL JOIN ({_BYDAY}) o ON {same('p', 'o', _NAMES)} AND p.date_start = o.order_date)"""
+    FROM daily p FULL JOIN ({_BYDAY}) o ON {same('p', 'o', _NAMES)} AND p.date_start = o.order_date) d
+    LEFT JOIN ({_DAYSKUS}) k ON {same('d', 'k', _NAMES)} AND d.date_start = k.order_date"""
 
 
 def _range(spend: str) -> str:
