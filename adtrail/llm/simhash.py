@@ -127,8 +127,8 @@ def allocate(costs: list[list[float]], units: int) -> tuple[float, list[int]]:
 def threshold_costs(total: int, both: np.ndarray, bits: list[int], pairs: float, distance: int) -> list[float]:
     """Cost of a partition at thresholds -1 to ``distance``: probes of all fingerprints, and candidates.
 
-    Candidates at threshold 0 are the exact number of pairs with equal values; each further differing bit multiplies
-    them by the odds that two fingerprints differ in it.
+    ``pairs`` is the exact cost at threshold 0, from the values that fingerprints share; each further differing bit
+    multiplies it by the odds that two fingerprints differ in it.
     """
     p = np.diag(both)[bits] / max(total, 1)
     differ = 2 * p * (1 - p)
@@ -149,7 +149,7 @@ def _mask(bits) -> int:
     return _signed(sum(1 << b for b in bits))
 
 
-def plan_search(nodes: DataFrame, distance: int, folder: str, partitions: tuple[int, ...] = PARTITIONS) -> tuple[list[tuple[int, list[int], int]], DataFrame]:
+def plan_search(nodes: DataFrame, distance: int, folder: str, partitions: tuple[int, ...] = PARTITIONS, crowd: int = CROWD) -> tuple[list[tuple[int, list[int], int]], DataFrame]:
     """([(partition number, its bits, threshold)], values): the cheapest plan, and how often partition values occur.
 
     ``values`` (part, key, n) has the values that two or more fingerprints share.
@@ -162,7 +162,10 @@ def plan_search(nodes: DataFrame, distance: int, folder: str, partitions: tuple[
     ])
     values = nodes.select(F.explode(cells).alias("c")).groupBy("c.part", "c.key").agg(F.count("*").alias("n"))
     values = written(values.where("n > 1"), f"{folder}/values")
-    pairs = {r["part"]: r["p"] for r in values.groupBy("part").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("p")).collect()}
+    # A crowded value makes no pairs: each of its fingerprints names its midpoints instead.
+    n, midpoints = F.col("n"), len(_within(distance - distance // 2))
+    cost = F.when(n > crowd, n * midpoints).otherwise(n * (n - 1) / 2)
+    pairs = {r["part"]: r["p"] for r in values.groupBy("part").agg(F.sum(cost).alias("p")).collect()}
     plans = []
     for m in partitions:
         costs = [threshold_costs(total, both, bits, pairs.get(numbered[m, i], 0.0), distance) for i, bits in enumerate(layouts[m])]
@@ -179,7 +182,7 @@ def _within(radius: int, bits=range(BITS)) -> list[int]:
 
 def links(nodes: DataFrame, distance: int, folder: str, partitions: tuple[int, ...] = PARTITIONS, crowd: int = CROWD) -> DataFrame:
     """(a, b): links enough to connect all fingerprints that differ in ``distance`` bits or fewer; none between others."""
-    plan, values = plan_search(nodes, distance, folder, partitions)
+    plan, values = plan_search(nodes, distance, folder, partitions, crowd)
     fp = F.col("fp")
     probe = lambda part, bits, flip: F.struct(
         F.lit(part).alias("part"), fp.bitwiseXOR(F.lit(flip)).bitwiseAND(F.lit(_mask(bits))).alias("key"), F.lit(flip == 0).alias("own")
