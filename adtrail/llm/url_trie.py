@@ -9,7 +9,8 @@ every URL's host suffixes and whole path segments are joined with the rule table
 
 Defined cases: host = after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path = from there up
 to ``?``, ``#`` or the end; a null URL or one without ``://`` has both empty and fits no rule; a URL that fits no rule
-gets the default verdict. Rules with a null or empty host are refused by no URL (they never fit). Repeated rows stay.
+gets the default verdict. Rules without a host or with another verdict than allow and block are left out. Repeated rows
+stay.
 """
 
 from __future__ import annotations
@@ -36,9 +37,8 @@ def url_path(url: Column) -> Column:
 
 
 class UrlTrie:
-    """Rules as nested dicts: reversed host labels, then, under PATH, whole path segments, then tails of the last segment."""
-
-    PATH, TAILS = object(), object()
+    """Rules as nested dicts: reversed host labels, then, under ``/``, whole path segments, and under their ``/`` the tails
+    of last segments, which need only be a prefix."""
 
     def __init__(self, rules: list[tuple[str, str, str]]):
         self.root: dict = {}
