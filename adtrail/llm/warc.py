@@ -201,7 +201,8 @@ def normalise(whole: DataFrame, folder: str) -> DataFrame:
                         "offset": pa.array(offsets[part], pa.int64()), "length": pa.array(lengths[part], pa.int64()),
                     })
 
-    spread = whole.select("file").repartition("file")  # a file per task, however few rows list them
+    # About a file per task: a given number of partitions stays, however few rows list the files.
+    spread = whole.select("file").repartition(max(1, whole.count()), "file")
     return written(spread.mapInArrow(rewrite, "file string, id string, offset bigint, length bigint"), f"{folder}/index")
 
 
