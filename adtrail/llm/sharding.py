@@ -4,12 +4,13 @@ Each (key, shard) pair gets a hash; the record goes to the shard with the best w
 being least. Adding a shard only moves the records which the new shard wins. The score needs the key and the list of
 shards alone, so no table is consulted and nothing is shuffled to place a record.
 
-Slots follow the order of the key's own hash, then the key. Rows are laid out by range over (shard, hash, key, the
-other columns, a random number), so a key, a shard or a group of equal rows with a large share of the rows spreads
-over many ranges; a slot is the number of rows in earlier ranges of the shard plus the place within the range.
+Slots follow the order of the key's own hash, then the key, then the other columns. Rows that agree in all columns are
+counted first, before the shuffle too, and take slots in a row. The others are laid out by range over that order, so
+a key or a shard with a large share of the rows spreads over many ranges; a slot is the number of rows in earlier
+ranges of the shard plus the place within the range. Nothing depends on the order in which tasks meet their rows.
 
 Defined cases: a null key is a key of its own; repeated rows go to one shard and get slots of their own; an empty
-table gives no rows. Only built-in functions run.
+table gives no rows; columns of a type without an order (maps, variants) are refused. Only built-in functions run.
 """
 
 from __future__ import annotations
@@ -54,23 +55,24 @@ def assign_shards(records: DataFrame, key: str, weights: dict[int, float], grown
     spark, names = records.sparkSession, [c for c in records.columns if c not in ("shard", "slot", "grown_shard")]
     if key not in names:
         raise ValueError(f"{key!r} names a result column")
+    if unordered := [c for c, kind in records.dtypes if c in names and ("map<" in kind or "variant" in kind)]:
+        raise ValueError(f"columns without an order: {unordered}")
+    placed = ["shard", *(["grown_shard"] if grown else [])]
     rows = records.select(
-        *names,
-        place(key_text(key), weights).alias("shard"),
-        *([place(key_text(key), grown).alias("grown_shard")] if grown else []),
-        F.md5(key_text(key)).alias("_order"),
-        F.rand(11).alias("_tie"),
+        *names, place(key_text(key), weights).alias("shard"), *([place(key_text(key), grown).alias("grown_shard")] if grown else [])
     )
-    rest = [c for c, kind in rows.dtypes if c in names and c != key and not kind.startswith(("map", "variant"))]
-    laid = rows.repartitionByRange("shard", "_order", key, *rest, "_tie").withColumn("_range", F.spark_partition_id())
+    counted = rows.groupBy(*names, *placed).agg(F.count("*").alias("_rows")).withColumn("_order", F.md5(key_text(key)))
+    order = ["_order", key, *[c for c in names if c != key]]
+    laid = counted.repartitionByRange("shard", *order).withColumn("_range", F.spark_partition_id())
     laid = written(laid, fresh_folder(spark, "shards"))
-    before = Window.partitionBy("shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        laid.groupBy("shard", "_range").count()  # a row per shard and range: no more than ranges plus shards
-        .select("shard", "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+        laid.groupBy("shard", "_range").agg(F.sum("_rows").alias("_sum"))  # no more rows than ranges plus shards
+        .select("shard", "_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
     )
-    within = Window.partitionBy("shard", "_range").orderBy("_order", key, *rest, "_tie")
-    numbered = laid.withColumn("_n", F.row_number().over(within)).join(offsets, ["shard", "_range"])
-    return numbered.select(
-        *names, "shard", (F.col("_before") + F.col("_n") - 1).alias("slot"), *(["grown_shard"] if grown else [])
+    within = Window.partitionBy("shard", "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = laid.withColumn("_upto", F.sum("_rows").over(within)).join(offsets, ["shard", "_range"])
+    last = F.col("_before") + F.col("_upto") - 1
+    return numbered.select(*names, *placed, F.explode(F.sequence(last - F.col("_rows") + 1, last)).alias("slot")).select(
+        *names, "shard", "slot", *placed[1:]
     )
