@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from adtrail.llm.store import written
@@ -52,8 +53,9 @@ _NAMES = "|".join([*map(_any_case, ("password", "passwd", "secret", "token")), _
 #: Order matters: spans that start together are listed in it.
 RULES = (
     Rule("assign", rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12, probe=rf"""({_NAMES})["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{{12}}"""),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 18, probe=r"AKIA[A-Z0-9]{14}"),
-    Rule("hex", r"[0-9a-f]+", 0, 16, probe=r"[0-9a-f]{16}"),
+    # Runs are taken whole, so a least length in the pattern finds what a length check after ``+`` would.
+    Rule("access", r"AKIA[A-Z0-9]{14,}"),
+    Rule("hex", r"[0-9a-f]{16,}"),
     Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
     Rule("hosting_token", r"gh[pousr]_[A-Za-z0-9]{36,255}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,255}"),
@@ -85,6 +87,7 @@ def find_spans(texts: DataFrame, key: str, text: str, wanted: str, rules: tuple[
     """(key, rule, kind, start, end) of the matches in one row per key; ``wanted`` holds the rule keys to apply.
 
     Positions are running sums over the pieces between matches, so a text with many matches costs in proportion.
+    Rows that are there twice give the same pieces, which count once.
     """
     per_rule = F.array(*[
         F.struct(
@@ -95,10 +98,11 @@ def find_spans(texts: DataFrame, key: str, text: str, wanted: str, rules: tuple[
         for r in rules
     ])
     found = texts.select(key, F.explode(F.filter(per_rule, lambda r: F.size(r["runs"]) > 0)).alias("r"))
-    pieces = found.select(key, "r.rule", "r.kind", F.posexplode("r.runs").alias("i", "run"))
-    upto = F.sum(F.col("run.gap") + F.col("run.hit")).over(Window.partitionBy(key, "rule").orderBy("i"))
-    spans = pieces.withColumn("end", upto).where("run.counts")
-    return spans.select(key, "rule", "kind", (F.col("end") - F.col("run.hit")).alias("start"), "end")
+    pieces = found.select(key, "r.rule", "r.kind", F.posexplode("r.runs").alias("i", "run")).select(key, "rule", "kind", "i", "run.*")
+    pieces = pieces.repartition(key, "rule").distinct()  # one shuffle serves this and the window
+    upto = F.sum(F.col("gap") + F.col("hit")).over(Window.partitionBy(key, "rule").orderBy("i"))
+    spans = pieces.withColumn("end", upto).where("counts")
+    return spans.select(key, "rule", "kind", (F.col("end") - F.col("hit")).alias("start"), "end")
 
 
 class BlobLedger:
@@ -113,7 +117,7 @@ class BlobLedger:
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return self.spark.createDataFrame([], schema)
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema)])
 
     def scanned(self) -> DataFrame:
         return self._table("scanned", _SCANNED).distinct()
@@ -142,17 +146,11 @@ class BlobLedger:
         # The small side is the one that is hashed; texts stream past it unsorted.
         met = reduce(lambda a, b: a & b, [F.col("_blob") == F.col("_b"), *[F.col(c).eqNullSafe(F.col("_at")[c]) for c in path]])
         todo = held.join(unseen.hint("shuffle_hash"), met).select(F.col("_blob").alias("blob_id"), "_text", "_wanted")
-        self._append(find_spans(self._once(todo), "blob_id", "_text", "_wanted", self.rules), "findings")
+        self._append(find_spans(todo, "blob_id", "_text", "_wanted", self.rules), "findings")
         self._append(unseen.select(F.col("_b").alias("blob_id"), F.explode("_wanted").alias("rule")), "scanned")
         return held.select(*path, F.col("_blob").alias("blob_id"))
 
-    def _once(self, todo: DataFrame) -> DataFrame:
-        """Repeated rows of one path and content leave several copies: their findings must not be summed together."""
-        return todo.withColumn("blob_id", F.struct("blob_id", F.monotonically_increasing_id().alias("copy")))
-
     def _append(self, df: DataFrame, name: str) -> None:
-        if name == "findings":
-            df = df.withColumn("blob_id", F.col("blob_id")["blob_id"]).distinct()
         df.write.mode("append").parquet(f"{self.folder}/{name}")
 
 
