@@ -1,13 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items; Smith-Waterman alignment decides.
+"""Benchmark decontamination: n-gram seeds join passages to test items; Smith-Waterman alignment decides.
 
 1. The corpus says how often each n-gram of the test items occurs (one pass; a bitmap of fixed size in front lets
    hardly any other n-gram through, and partial counts are added up before and after the shuffle).
-2. Of every ``stretch`` n-grams in a row of an item, the rarest is a seed. Rarity only orders the n-grams of one item: an
-   item that leaked into a third of the corpus still has its seeds.
-3. A second pass cuts out the passages around seeds, as wide as the longest item on either side of them; seeds near
-   each other share a passage. A join by seed brings passages and items together.
+2. Every n-gram of an item that occurs in the corpus is a seed, however rare or common: which n-grams of a copy are
+   left whole by its edits cannot be told from counts.
+3. A second pass cuts out the passages around seeds, on either side as wide as the longest alignment that can count;
+   seeds near each other share a passage. A join by seed brings passages and items together.
 4. Each pair is aligned word by word (match 2, mismatch and gap -1). An item counts as leaked if the best local
-   alignment reaches ``least`` of its full score and ``least_words`` matching words' worth.
+   alignment reaches ``least`` of its full score and ``least_words`` matching words' worth. Pieces of a passage whose
+   words alone, in whatever order, cannot reach that are not aligned.
+
+An alignment is found if at least one run of n of its words is unedited; copies with an edit in every n words have no seed.
 
 Words are lower-cased and parted at white space and ASCII punctuation.
 
@@ -18,6 +21,8 @@ passages with equal scores the first is reported; null ids and items are values
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +32,6 @@ from adtrail.llm.store import fresh_folder, written
 from adtrail.llm.words import blocks, gram_hashes, hashed, run_starts
 
 NGRAM = 3
-STRETCH = 3
 BITMAP_BITS = 24  # 2 MB, whatever the size of the benchmark: a fuller bitmap lets more through, and the join decides
 
 _FOLD = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
@@ -108,23 +112,20 @@ def gram_counts(slim: DataFrame, bitmap, n: int) -> DataFrame:
     return slim.select("_text").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def pick_seeds(items: DataFrame, counts: DataFrame, stretch: int) -> DataFrame:
-    """(gram, item): of every ``stretch`` n-grams in a row (all, if an item has fewer), the rarest; of equals the first."""
-    placed = items.select("item", F.posexplode("grams").alias("at", "gram"), F.size("grams").alias("size"))
-    rare = placed.join(counts, "gram", "left").groupBy("item").agg(
-        F.sort_array(F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n"), "gram"))).alias("g")  # one item's n-grams
-    )
-    starts = F.sequence(F.lit(1), F.greatest(F.size("g") - stretch + 1, F.lit(1)))
-    least = lambda i: F.array_min(F.transform(F.slice("g", i, stretch), lambda x: F.struct(x["n"], x["at"], x["gram"])))["gram"]
-    return rare.select("item", F.explode(F.array_distinct(F.transform(starts, least))).alias("gram"))
+def pick_seeds(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """(gram, item): the n-grams of each item that occur in the corpus."""
+    return items.select("item", F.explode(F.array_distinct("grams")).alias("gram")).join(counts, "gram", "left_semi").select("gram", "item")
 
 
-def passages(slim: DataFrame, bitmap, n: int, reach: int) -> DataFrame:
-    """(_id, start, words, grams): stretches of text around what the bitmap lets through, ``reach`` words on either side."""
+def passages(slim: DataFrame, bitmap, known, n: int, reach: int) -> DataFrame:
+    """(_id, start, words, grams): stretches of text around what the bitmap lets through, ``reach`` words on either side.
+
+    ``known``: the bitmap of the items' words. Any other word matches nothing and is written as 0, which packs well.
+    """
     kind = slim.schema["_id"].dataType.simpleString()
 
     def run(batches):
-        grams_in = Bitmap(bitmap.value)
+        grams_in, words_in = Bitmap(bitmap.value), Bitmap(known.value)
         for batch in batches:
             for start, end in blocks(batch, "_text"):
                 part = batch.slice(start, end - start)
@@ -143,7 +144,9 @@ def passages(slim: DataFrame, bitmap, n: int, reach: int) -> DataFrame:
                 begins = np.concatenate([[0], ends[:-1]])[owner[first]]
                 lo = np.maximum(at[first] - reach, begins)
                 hi = np.minimum(at[last] + n + reach, ends[owner[first]])
-                signed, signed_grams = words.view(np.int64), grams.view(np.int64)
+                signed, signed_grams = np.zeros(len(words), np.int64), grams.view(np.int64)
+                shared = words_in.where(words)
+                signed[shared] = words.view(np.int64)[shared]
                 columns = [
                     pa.array(lo - begins, pa.int64()),
                     pa.array([signed[a:b] for a, b in zip(lo, hi)], pa.list_(pa.int64())),
@@ -170,29 +173,44 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def best_alignment(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
-    """align() over a text of any length, in overlapping pieces: an alignment that scores spans less than three items."""
-    span = 3 * len(item)
+def longest(words: int, least: float) -> int:
+    """Words of text that an alignment of ``least`` of an item's full score spans at most: 3 a match, less the score."""
+    return math.ceil(words * (3 - 2 * least))
+
+
+def best_alignment(item: np.ndarray, text: np.ndarray, least: float = 0.0, least_words: int = 0) -> tuple[int, int]:
+    """align() over a text of any length, in overlapping pieces that hold any alignment whole; (0, 0) if none reaches the bounds.
+
+    No alignment scores more than a stretch of the piece in which each word that the item holds counts 2 and any other -1:
+    pieces without such a stretch are passed over.
+    """
+    span = longest(len(item), least)
+    need = max(2 * len(item) * least, 2 * least_words, 1)
+    sums = np.concatenate([[0], np.cumsum(np.where(np.isin(text, item), 2, -1))])
     best = (0, 0)
     for at in range(0, max(1, len(text) - span), span):
+        piece = sums[at : at + 2 * span + 1]
+        if (piece - np.minimum.accumulate(piece)).max() < need:
+            continue
         score, end = align(item, text[at : at + 2 * span])
-        if score > best[0]:
+        if score >= need and score > best[0]:
             best = score, at + end
     return best
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", n: int = NGRAM, stretch: int = STRETCH, least: float = 0.5, least_words: int = 6) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", n: int = NGRAM, least: float = 0.5, least_words: int = 6) -> DataFrame:
     """(id, item, score, position) of leaked items: ``score`` is the share of the item's full alignment score, ``position``
     the word of the text after which the best alignment ends."""
     spark, folder = docs.sparkSession, fresh_folder(docs.sparkSession, "leaks")
     slim = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").cast("binary").alias("_text"))
     items = written(_items(benchmark, item, item_text, n).where(F.size("words") >= least_words), f"{folder}/items")
-    reach = items.agg(F.max(F.size("words"))).first()[0] or 0
+    reach = longest(items.agg(F.max(F.size("words"))).first()[0] or 0, least)
     every = spark.sparkContext.broadcast(bitmap_of(items.select(F.explode("grams").alias("gram")), "gram"))
     counts = gram_counts(slim, every, n)
-    seeds = written(pick_seeds(items, counts, stretch), f"{folder}/seeds")
+    seeds = written(pick_seeds(items, counts), f"{folder}/seeds")
     wanted = spark.sparkContext.broadcast(bitmap_of(seeds, "gram"))
-    cut = written(passages(slim, wanted, n, reach).withColumn("passage", F.monotonically_increasing_id()), f"{folder}/passages")
+    known = spark.sparkContext.broadcast(bitmap_of(items.select(F.explode("words").alias("word")), "word"))
+    cut = written(passages(slim, wanted, known, n, reach).withColumn("passage", F.monotonically_increasing_id()), f"{folder}/passages")
 
     pairs = cut.select("passage", F.explode("grams").alias("gram")).join(seeds, "gram").select("passage", "item").distinct()
     pairs = written(pairs, f"{folder}/pairs")
@@ -204,7 +222,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
     def score(batches):
         for batch in batches:
             there, words = batch.column("_there"), batch.column("_words")
-            found = [best_alignment(words[i].values.to_numpy(), there[i].values.to_numpy()) for i in range(batch.num_rows)]
+            found = [best_alignment(words[i].values.to_numpy(), there[i].values.to_numpy(), least, least_words) for i in range(batch.num_rows)]
             share = [s / (2 * len(words[i])) for i, (s, _) in enumerate(found)]
             ends = [a + e for a, (_, e) in zip(batch.column("start").to_pylist(), found)]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("item"), pa.array(share, pa.float64()), pa.array(ends, pa.int64()), pa.array([s for s, _ in found], pa.int64())], names=["_id", "item", "score", "position", "raw"])

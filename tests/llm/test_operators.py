@@ -168,6 +168,31 @@ def test_edited_copies_are_found_and_others_left(spark):
     assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("run", [3, 4, 5])
+def test_copies_with_short_unedited_runs_are_found(spark, run):
+    rng = random.Random(run)
+    word = lambda: f"v{rng.randrange(600)}"
+    items = [(i, " ".join(word() for _ in range(rng.randrange(24, 60)))) for i in range(20)]
+    docs = [(i, " ".join(word() for _ in range(80))) for i in range(40)]
+    want = set()
+    for i, text in items:  # a word put in after every run; a whole copy elsewhere in the corpus
+        edited = " ".join(w if j % run < run - 1 else f"{w} x{rng.randrange(9999)}" for j, w in enumerate(text.split()))
+        docs += [(100 + i, f"{docs[i][1]} {edited} {docs[i + 20][1]}"), (200 + i, text)]
+        want |= {(100 + i, i), (200 + i, i)}
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+
+
+def test_passed_over_pieces_hold_no_alignment_that_counts():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        item = rng.integers(0, 30, rng.integers(6, 30))
+        text = np.concatenate([rng.integers(0, 60, rng.integers(0, 200)), item[rng.random(len(item)) < 0.8], rng.integers(0, 60, 50)])
+        score, end = decontaminate.align(item, text)
+        least = max(len(item), 12)
+        assert decontaminate.best_alignment(item, text, 0.5, 6) == ((score, end) if score >= least else (0, 0))
+
+
 def test_alignment_scores():
     a = np.array([1, 2, 3, 4, 5, 6])
     assert decontaminate.align(a, np.array([9, 1, 2, 3, 4, 5, 6, 9])) == (12, 7)
