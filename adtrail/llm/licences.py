@@ -1,8 +1,9 @@
 """Licence notices found by a positional index of rare words over licence templates.
 
 The templates are short, well-known notices. Their words form the index: word -> (template, position). The corpus
-says how rare each of these words is (document frequency over all documents). A document looks up its rarest licence
-words only, places each template where the word's position in the text and in the template agree, and lets the
+says how rare each of these words is (document frequency over all documents). Each template is looked up by its own
+rarest words, as many as weigh more together than a place that counts may lack: such a place holds one of them, whatever
+else the text holds. A template is placed where the word's position in the text and in the template agree, and the
 places vote: a template's score is the share of its words (weighted by rarity) that stand at their relative position.
 A template counts if its score reaches ``least_score`` and its key phrase stands there in consecutive words.
 
@@ -67,24 +68,28 @@ BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights r
 class Index:
     """The positional index of ``templates``, with the rarity of its words in the corpus."""
 
-    def __init__(self, templates: tuple[Template, ...], seen: Mapping[bytes, int], total: int, rarest: int, least_score: float):
-        self.templates, self.rarest, self.least_score = templates, rarest, least_score
+    def __init__(self, templates: tuple[Template, ...], seen: Mapping[bytes, int], total: int, least_score: float):
+        self.templates, self.least_score = templates, least_score
         self.words = [fold(t.notice.encode()).split() for t in templates]
         self.required = [[b" " + b" ".join(fold(r.encode()).split()) + b" " for r in t.required] for t in templates]
+        self.idf = {w: math.log((total + 1) / (seen.get(w, 0) + 1)) + 1e-9 for words in self.words for w in words}
+        self.weight = [sum(self.idf[w] for w in words) for words in self.words]
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for t, words in enumerate(self.words):
-            for at, word in enumerate(words):
-                self.postings[word].append((t, at))
-        self.idf = {w: math.log((total + 1) / (seen.get(w, 0) + 1)) + 1e-9 for w in self.postings}
-        self.weight = [sum(self.idf[w] for w in words) for words in self.words]
+            held = 0.0
+            for word in sorted(set(words), key=lambda w: (-self.idf[w], w)):
+                if held > (1 - least_score) * self.weight[t] * (1 + 1e-9):
+                    break
+                places = [at for at, w in enumerate(words) if w == word]
+                self.postings[word] += [(t, at) for at in places]
+                held += self.idf[word] * len(places)
+        self.lookups = frozenset(self.postings)
 
     def find(self, words: list[bytes], held: set[bytes]) -> dict[str, float]:
-        """Label to best score, of the templates that stand in ``words``. ``held``: the index words among them."""
-        rare = sorted(held, key=lambda w: (-self.idf[w], w))[: self.rarest]
+        """Label to best score, of the templates that stand in ``words``. ``held``: the looked-up words among them."""
         hinted: set[tuple[int, int]] = set()
-        wanted = set(rare)
         for at, word in enumerate(words):
-            if word in wanted:
+            if word in held:
                 for template, place in self.postings[word]:
                     hinted.add((template, at - place))
         out: dict[str, float] = {}
@@ -141,11 +146,10 @@ def document_frequencies(docs: DataFrame, text: str, vocabulary: set[bytes]) ->
     return found, total
 
 
-def scan_licences(docs: DataFrame, id: str = "doc_id", text: str = "text", templates: tuple[Template, ...] = TEMPLATES, rarest: int = 8, least_score: float = 0.8) -> DataFrame:
+def scan_licences(docs: DataFrame, id: str = "doc_id", text: str = "text", templates: tuple[Template, ...] = TEMPLATES, least_score: float = 0.8) -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score) per row.
 
-    ``rarest``: how many of its licence words, the rarest, a document looks up. Word counts of the templates' words over
-    the corpus reach the driver, nothing else.
+    Word counts of the templates' words over the corpus reach the driver, nothing else.
     """
     vocabulary = {w for t in templates for w in fold(t.notice.encode()).split()}
     seen, total = document_frequencies(docs, text, vocabulary)
@@ -158,14 +162,14 @@ def scan_licences(docs: DataFrame, id: str = "doc_id", text: str = "text", templ
         words = folded.split()
         places = phrase_places(folded, words, BASE_PHRASES)
         base = {label for _, label in places}
-        held = vocabulary.intersection(words)
+        held = index.lookups.intersection(words)
         own = index.find(words, held) if held else {}
         at = [p for p, _ in places]
         score = 1.0 if base else max(own.values(), default=0.0)
         return len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(base | set(own))), min(score, 1.0)
 
     def run(batches):
-        index = Index(templates, seen, total, rarest, least_score)
+        index = Index(templates, seen, total, least_score)
         for batch in batches:
             for start, end in blocks(batch, "_text"):
                 part = batch.slice(start, end - start)

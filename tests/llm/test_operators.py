@@ -217,6 +217,30 @@ def test_notices_with_edits(spark):
     assert all(got[label][0] == label for label in texts) and got["none"] == ("", 0.0)
 
 
+def test_two_notices_in_one_text_are_both_found(spark):
+    filler = "words of a plain text that stand between notices " * 3
+    pairs = [(a, b) for a in licences.TEMPLATES for b in licences.TEMPLATES if a.label != b.label]
+    docs = [(i, f"{a.notice} {filler} {b.notice}") for i, (a, b) in enumerate(pairs)] + [(len(pairs), " ".join(t.notice + " | " + filler for t in licences.TEMPLATES))]
+    got = {r.doc_id: set(r.labels.split(",")) for r in licences.scan_licences(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all({a.label, b.label} <= got[i] for i, (a, b) in enumerate(pairs))
+    assert {t.label for t in licences.TEMPLATES} <= got[len(pairs)]
+
+
+def test_the_index_finds_what_trying_every_place_finds():
+    rng = random.Random(7)
+    every = sorted({w for t in licences.TEMPLATES for w in licences.fold(t.notice.encode()).split()})
+    for least in (0.8, 0.5):
+        index = licences.Index(licences.TEMPLATES, {w: rng.randrange(1000) for w in every}, 1000, least)
+        whole = licences.Index(licences.TEMPLATES, {}, 1000, least)
+        whole.idf, whole.weight = index.idf, index.weight
+        whole.postings = {w: [(t, at) for t, words in enumerate(index.words) for at, x in enumerate(words) if x == w] for w in every}
+        for _ in range(300):
+            words = []
+            for t in rng.choices(index.words, k=3):
+                words += rng.choices(every, k=5) + [w if rng.random() < 0.9 else b"other" for w in t]
+            assert index.find(words, index.lookups.intersection(words)) == whole.find(words, set(every).intersection(words))
+
+
 # --- BPE -----------------------------------------------------------------------------
 
 def test_merge_order_on_a_small_table():
