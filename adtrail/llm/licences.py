@@ -5,7 +5,8 @@ says how rare each of these words is (document frequency over all documents). Ea
 rarest words, as many as weigh more together than a place that counts may lack: such a place holds one of them, whatever
 else the text holds. A template is placed where the word's position in the text and in the template agree, and the
 places vote: a template's score is the share of its words (weighted by rarity) that stand at their relative position.
-A template counts if its score reaches ``least_score`` and its key phrase stands there in consecutive words.
+A template counts if its score reaches ``least_score`` and its key phrase stands there in consecutive words. The base
+phrases are in the index by their rarest word each, and count where all their words stand in a row around it.
 
 Words are ``[0-9a-z]`` and non-ASCII characters after lower-casing A-Z; everything else parts words.
 
@@ -72,7 +73,8 @@ class Index:
         self.templates, self.least_score = templates, least_score
         self.words = [fold(t.notice.encode()).split() for t in templates]
         self.required = [[b" " + b" ".join(fold(r.encode()).split()) + b" " for r in t.required] for t in templates]
-        self.idf = {w: math.log((total + 1) / (seen.get(w, 0) + 1)) + 1e-9 for words in self.words for w in words}
+        phrases = {label: phrase.encode().split() for phrase, label in BASE_PHRASES.items()}
+        self.idf = {w: math.log((total + 1) / (seen.get(w, 0) + 1)) + 1e-9 for words in (*self.words, *phrases.values()) for w in words}
         self.weight = [sum(self.idf[w] for w in words) for words in self.words]
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for t, words in enumerate(self.words):
@@ -83,14 +85,18 @@ class Index:
                 places = [at for at, w in enumerate(words) if w == word]
                 self.postings[word] += [(t, at) for at in places]
                 held += self.idf[word] * len(places)
-        self.lookups = frozenset(self.postings)
+        self.anchors: dict[bytes, list[tuple[list[bytes], int, str]]] = defaultdict(list)
+        for label, words in phrases.items():
+            place = max(range(len(words)), key=lambda i: self.idf[words[i]])
+            self.anchors[words[place]].append((words, place, label))
+        self.lookups = frozenset([*self.postings, *self.anchors])
 
     def find(self, words: list[bytes], held: set[bytes]) -> dict[str, float]:
         """Label to best score, of the templates that stand in ``words``. ``held``: the looked-up words among them."""
         hinted: set[tuple[int, int]] = set()
         for at, word in enumerate(words):
             if word in held:
-                for template, place in self.postings[word]:
+                for template, place in self.postings.get(word, ()):
                     hinted.add((template, at - place))
         out: dict[str, float] = {}
         for template, start in sorted(hinted):
@@ -105,25 +111,17 @@ class Index:
                     out[label] = score
         return out
 
-
-def phrase_places(folded: bytes, words: list[bytes], phrases: Mapping[str, str]) -> list[tuple[int, str]]:
-    """(word position, label) of every place where a phrase's words stand in a row."""
-    out, joined = [], None
-    for phrase, label in phrases.items():
-        parts = phrase.encode().split()
-        if not all(p in folded for p in parts):
-            continue
-        if joined is None:
-            joined = b" " + b" ".join(words) + b" "
-        target = b" " + b" ".join(parts) + b" "
-        at = joined.find(target)
-        counted = position = 0
-        while at >= 0:
-            position += joined.count(b" ", counted, at)
-            counted = at
-            out.append((position, label))
-            at = joined.find(target, at + 1)
-    return out
+    def base_places(self, words: list[bytes], held: set[bytes]) -> list[tuple[int, str]]:
+        """(word position, label) of every place where a base phrase's words stand in a row."""
+        out = []
+        for anchor in held.intersection(self.anchors):
+            at = -1
+            for _ in range(words.count(anchor)):
+                at = words.index(anchor, at + 1)
+                for phrase, place, label in self.anchors[anchor]:
+                    if at >= place and words[at - place : at - place + len(phrase)] == phrase:
+                        out.append((at - place, label))
+        return out
 
 
 def document_frequencies(docs: DataFrame, text: str, vocabulary: set[bytes]) -> tuple[dict[bytes, int], int]:
@@ -151,18 +149,17 @@ def scan_licences(docs: DataFrame, id: str = "doc_id", text: str = "text", templ
 
     Word counts of the templates' words over the corpus reach the driver, nothing else.
     """
-    vocabulary = {w for t in templates for w in fold(t.notice.encode()).split()}
+    vocabulary = {w for notice in (*(t.notice for t in templates), *BASE_PHRASES) for w in fold(notice.encode()).split()}
     seen, total = document_frequencies(docs, text, vocabulary)
     slim = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").cast("binary").alias("_text"))
     kind = slim.schema["_id"].dataType.simpleString()
     fields = [("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64())]
 
     def judge(index: Index, data: bytes | None) -> tuple:
-        folded = fold(data)
-        words = folded.split()
-        places = phrase_places(folded, words, BASE_PHRASES)
-        base = {label for _, label in places}
+        words = fold(data).split()
         held = index.lookups.intersection(words)
+        places = index.base_places(words, held) if held else []
+        base = {label for _, label in places}
         own = index.find(words, held) if held else {}
         at = [p for p, _ in places]
         score = 1.0 if base else max(own.values(), default=0.0)

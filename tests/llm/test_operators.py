@@ -241,6 +241,17 @@ def test_the_index_finds_what_trying_every_place_finds():
             assert index.find(words, index.lookups.intersection(words)) == whole.find(words, set(every).intersection(words))
 
 
+def test_base_phrases_stand_in_the_index():
+    rng = random.Random(11)
+    every = sorted({w for p in licences.BASE_PHRASES for w in p.split()})
+    for _ in range(200):
+        index = licences.Index(licences.TEMPLATES, {w.encode(): rng.randrange(90) for w in every}, 90, 0.8)
+        words = [w.encode() for w in rng.choices([*every, "x"], k=12)] + [w.encode() for p in rng.choices(list(licences.BASE_PHRASES), k=4) for w in p.split()]
+        at = sorted(index.base_places(words, index.lookups.intersection(words)))
+        joined = " ".join(w.decode() for w in words)
+        assert (len(words), len(at), at[0][0], at[-1][0], ",".join(sorted({x for _, x in at}))) == brute.licences(joined)
+
+
 # --- BPE -----------------------------------------------------------------------------
 
 def test_merge_order_on_a_small_table():
