@@ -210,7 +210,8 @@ def hex_of(fp: Column) -> Column:
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 2, partitions: tuple[int, ...] = PARTITIONS, crowd: int = CROWD) -> DataFrame:
-    """(id, _key, fingerprint, component_id) per row; ``component_id`` is the least id that links reach."""
+    """(id, _key, fingerprint, component_id, _root) per row; ``component_id`` is the least id that links reach, ``_root`` names the
+    group even where groups share an id."""
     folder = fresh_folder(docs.sparkSession, "simhash")
     rows = written(fingerprints(docs, id, text, shingle), f"{folder}/rows")
     nodes = written(rows.groupBy("fp").agg(F.min("_id").alias("rep")), f"{folder}/nodes")
@@ -218,5 +219,5 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
     roots = written(components(found, f"{folder}/components").withColumnRenamed("node", "fp"), f"{folder}/roots")
     rooted = written(nodes.join(roots, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")), f"{folder}/rooted")
     least = written(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), f"{folder}/least")
-    labelled = written(rooted.join(least, "root").select("fp", "component_id"), f"{folder}/labelled")
-    return rows.join(labelled, "fp").select(F.col("_id").alias(id), "_key", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+    labelled = written(rooted.join(least, "root").select("fp", "component_id", F.col("root").alias("_root")), f"{folder}/labelled")
+    return rows.join(labelled, "fp").select(F.col("_id").alias(id), "_key", hex_of(F.col("fp")).alias("fingerprint"), "component_id", "_root")

@@ -3,7 +3,7 @@
 quality rules -> SimHash near-dedup -> benchmark decontamination -> secret scans -> byte-level BPE
 
 Stages match their verdicts to documents by (doc_id, hash of the text), so rows that share an id are told apart by
-their text, and null ids match null ids. Rows that agree in both stay or go together. Columns a stage does not need
+their text, and null ids match null ids. Rows that agree in both stay or go together, but near-dedup leaves one. Columns a stage does not need
 pass through, whatever their names; an empty table gives an empty table.
 """
 
@@ -35,10 +35,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id stays (of several with that id, the least text hash)."""
+    """Of each group of near-duplicates the document with the least id stays (of several with that id, the least text hash),
+    once; of rows that agree in id and text any one."""
     found = simhash.near_duplicates(docs, shingle=3, distance=2)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fingerprint", "component_id").agg(F.min("_key").alias("_key"))
-    return _matched(docs, written(kept.select("doc_id", "_key"), fresh_folder(spark, "kept")), "left_semi")
+    named = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("_root", "doc_id", "_key").agg(F.count("*").alias("n"))
+    kept = named.groupBy("_root").agg(F.min(F.struct("doc_id", "_key", "n")).alias("k")).select("k.*")
+    kept = written(kept, fresh_folder(spark, "kept"))
+    if kept.where("n > 1").isEmpty():
+        return _matched(docs, kept, "left_semi")
+    several = _matched(docs, kept.where("n > 1"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return _matched(docs, kept.where("n = 1"), "left_semi").unionByName(several)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

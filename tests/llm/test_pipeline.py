@@ -64,3 +64,15 @@ def test_null_ids_and_repeated_rows(spark, folder):
         now = spark.createDataFrame(stage(spark, now, folder).collect(), docs.schema)
         assert now.columns == docs.columns
     assert corpus_pipeline.STAGES[4][1](spark, now, folder).count() == now.count() > 0
+
+
+def test_one_row_of_a_group_stays_where_ids_are_repeated_or_null(spark, folder):
+    words = [f"w{i}x" for i in range(400)]
+    base = " ".join(words)
+    near = next(t for i in range(400) for t in [" ".join([*words[:i], "other", *words[i + 1 :]])] if 0 < (brute.fingerprint(t) ^ brute.fingerprint(base)).bit_count() <= 2)
+    far = " ".join(f"f{i}y" for i in range(300))
+    rows = [(7, base), (7, near), (7, near), (8, base), (7, far), (7, far), (None, near.replace("w", "u")), (None, near.replace("w", "u"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.dedup_stage(spark, docs, folder).collect()]
+    assert len(got) == 3 and sorted(i or 0 for i, _ in got) == [0, 7, 7]
+    assert {(7, far), (None, rows[6][1])} < set(got) and {t for _, t in got} & {base, near}
