@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries that SQL can express.
 
 Without SQL, and tested against plain versions in tests/llm instead: op3 (weighted votes of positions), op4 (alignment),
-op5 (XXH64 majorities and components), op8 (byte-pair merges) and the pipeline, which uses the last three.
+op5 (XXH64 majorities and components), op8 (byte-pair merges), op11 and op13 (ids of tokenizers) and the pipeline.
 """
 
 from __future__ import annotations
@@ -113,6 +113,25 @@ def _quality() -> str:
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM failed) AS kept FROM base"""
 
 
+_COLLOCATIONS = r"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+        unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+    grams AS (SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+        FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, range(1, 6) t(k) WHERE len(words) >= k)),
+    f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+    totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+    cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1),
+    cuts AS (SELECT *, array_to_string(words[1:c], ' ') AS head, array_to_string(words[c + 1:], ' ') AS tail FROM (SELECT *, unnest(range(1, k)) AS c FROM cand)),
+    scores AS (SELECT c.lang, c.phrase, c.a, c.c, l.f AS l, r.f AS r, n, (1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS score
+        FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = head JOIN f r ON r.lang = c.lang AND r.phrase = tail JOIN totals USING (lang)),
+    best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+    inside AS (SELECT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+        FROM (SELECT lang, a, words, m, unnest(range(1, k - m + 2)) AS i FROM cand, range(2, 5) t(m) WHERE m < k) GROUP BY ALL),
+    left_over AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+    FROM left_over QUALIFY rank <= 2000"""
+
+
 ORACLE: dict[str, str] = {
     "op1_secret_scan": _secrets(),
     "op2_url_filter": _urls(),
@@ -120,4 +139,5 @@ ORACLE: dict[str, str] = {
     "op7_substring_dedup": _SUBSTRINGS,
     "op9_warc": _WARC,
     "op10_quality_rules": _quality(),
+    "op12_collocations": _COLLOCATIONS,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtrail.llm import bpe, decontaminate, licences, quality, secret_ledger, sharding, simhash, substring, url_trie, warc
+from adtrail.llm import alignment, bpe, collocations, decontaminate, licences, packing, quality, secret_ledger, sharding, simhash, substring, url_trie, warc
 from adtrail.llm.store import fresh_folder
 
 #: The rank file and pattern of op8.
@@ -97,6 +97,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, in pieces of at most 2048 tokens, with its sequence and the place there."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), room=2048, end_id=0)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of each language."""
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alignment of every document's tokens by two tokenizers."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.Alignment(table(spark, sf_dir, "documents"), *paths).documents()
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py, one after the other."""
     import corpus_pipeline
@@ -106,5 +122,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_url_filter, op3_license_scan, op4_decontaminate, op5_simhash_dedup, op6_shards, op7_substring_dedup,
-    op8_bpe, op9_warc, op10_quality_rules, pipeline,
+    op8_bpe, op9_warc, op10_quality_rules, op11_packing, op12_collocations, op13_alignment, pipeline,
 )}

@@ -27,3 +27,9 @@ def written(df: DataFrame, path: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends here, and a lost executor loses nothing."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a table of this run that nothing will read again."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

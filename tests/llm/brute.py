@@ -6,6 +6,7 @@ import base64
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -143,3 +144,63 @@ def shard(key: str, shards: int) -> int:
 
 def crc(text: str | None) -> int:
     return zlib.crc32((text or "").encode())
+
+
+def phrases(rows, least: int, longest: int = 5, top: int | None = 2000, percent: int = 100) -> list[tuple]:
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text) rows."""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text or "")):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in range(1, longest + 1):
+                for i in range(len(words) - k + 1):
+                    f[lang][tuple(words[i : i + k])] += 1
+    out = []
+    for lang, count in f.items():
+        held = {p: a for p, a in count.items() if len(p) > 1 and a >= least}
+        inside = defaultdict(int)
+        for p, a in held.items():
+            for k in range(2, len(p)):
+                for i in range(len(p) - k + 1):
+                    inside[p[i : i + k]] = max(inside[p[i : i + k]], a)
+        found = []
+        for p, a in held.items():
+            if 100 * inside[p] >= percent * a and inside[p]:
+                continue
+            score, cut = min((1000 * a * n[lang] // (count[p[:k]] * count[p[k:]]), k) for k in range(1, len(p)))
+            found.append((-score, -a, " ".join(p).encode(), count[p[:cut]], count[p[cut:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return sorted(out)
+
+
+def alignment(rows, a_side, b_side) -> list[tuple]:
+    """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256); a side is (encode, bytes of an id)."""
+    every, held = [], Counter()
+    for id, text in rows:
+        links, sizes, listed = [], (0, 0, 0), ""
+        if text:
+            (a, a_bytes), (b, b_bytes) = ((ids, [to_bytes(i) for i in ids]) for ids, to_bytes in ((enc(text), tb) for enc, tb in (a_side, b_side)))
+            if b"".join(a_bytes) == b"".join(b_bytes) == b" " + text.encode():
+                spans = []
+                for ids, data in ((a, a_bytes), (b, b_bytes)):
+                    at, ends = 0, []
+                    for d in data:
+                        at += len(d)
+                        ends.append(at)
+                    spans.append(ends)
+                cuts = sorted(set(spans[0]) & set(spans[1]))
+                groups, start = [], 0
+                for cut in cuts:
+                    groups.append(tuple(ids[bisect_right(ends, start) : bisect_right(ends, cut)] for ids, ends in ((a, spans[0]), (b, spans[1]))))
+                    start = cut
+                links = [(i, j) for x, y in groups for i in x for j in y]
+                sizes, listed = (len(a), len(b), len(groups)), SHA(";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups))
+        held.update(set(links))
+        every.append((id, *sizes, links, listed))
+    top = defaultdict(int)
+    for (i, _), c in held.items():
+        top[i] = max(top[i], c)
+    return [(id, x, y, g, len(links), sum(held[p] == top[p[0]] for p in links), sum(held[p] for p in links), sha) for id, x, y, g, links, sha in every]

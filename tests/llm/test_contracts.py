@@ -1,10 +1,15 @@
 """Every query on a small folder against its plain version, and on empty tables."""
 
 import base64
+import zlib
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 import tiktoken
+from tokenizers import Tokenizer
 
 from adtrail.llm.queries import QUERIES, RANK_FILE, URL_RULES
 from tests.llm import brute
@@ -94,6 +99,46 @@ def test_leaks(spark, folder):
     assert [(r.doc_id, r.item_id, r.score) for r in found] == [(60, 1, 1.0)]
 
 
+def test_packing(spark, folder):
+    found = QUERIES["op11_packing"](spark, folder).collect()
+    peer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = Counter()
+    for row in ROWS:
+        ids = [*peer.encode(row[1] or "", add_special_tokens=False).ids, 0]
+        for piece, start in enumerate(range(0, len(ids), 2048)):
+            part = ids[start : start + 2048]
+            want[row[0], piece, start, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found) == want
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for held in sequences.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(sequences) <= -(-sum(r.length for r in found) // 2048) + 1
+
+
+def test_collocations(spark, folder):
+    found = QUERIES["op12_collocations"](spark, folder).collect()
+    assert sorted(map(tuple, found)) == brute.phrases([(r[2], r[1]) for r in ROWS], 100) != []
+
+
+def test_alignment(spark, folder):
+    found = QUERIES["op13_alignment"](spark, folder).collect()
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        of_a = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, file)}
+    of_b = lambda i: bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("\u2581", " ").encode()
+    want = brute.alignment([(r[0], r[1]) for r in ROWS], (lambda t: a.encode(" " + t, add_special_tokens=False).ids, of_a.__getitem__), (b.encode, of_b))
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert sorted(tuple(r[n] for n in names) for r in found) == sorted(want)
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_empty_tables(spark, empty, folder, name):
     df = QUERIES[name](spark, empty)

@@ -8,7 +8,7 @@ import pyarrow.fs as pafs
 import pytest
 from pyspark.sql import functions as F
 
-from adtrail.llm import bpe, decontaminate, graph, licences, quality, secret_ledger, sharding, simhash, substring, url_trie, warc
+from adtrail.llm import alignment, bpe, collocations, decontaminate, graph, licences, packing, quality, secret_ledger, sharding, simhash, substring, url_trie, warc
 from tests.llm import brute
 
 
@@ -331,3 +331,144 @@ def test_cutoffs_follow_the_group(spark):
     rows += [(200 + i, marked(), "en", "code") for i in range(40)] + [(300, plain(), None, None)]
     got = {r.doc_id: r.kept for r in quality.assess(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), ["doc_id"], ["lang", "source"]).collect()}
     assert not got.pop(100) and all(got.values())
+
+
+# --- packing -------------------------------------------------------------------------
+
+def laid(histogram, room):
+    """Every piece of a plan, checked: (sequence -> filled)."""
+    plan = packing.best_plan(np.array(histogram), room)
+    filled, places, numbers = {}, [], {}
+    for length, first, sequence, each, offset in plan.runs:
+        numbers.setdefault(length, []).append(first)
+    for length in range(1, room + 1):
+        mine = plan.table[plan.table[:, 0] == length]
+        ends = [*mine[1:, 1].tolist(), int(histogram[length])]
+        assert (not histogram[length]) == (not len(mine)) and (not len(mine) or mine[0, 1] == 0)
+        for (_, first, sequence, each, offset), end in zip(mine.tolist(), ends):
+            for i in range(end - first):
+                places.append((sequence + i // each, offset + i % each * length, length))
+    at = {}
+    for sequence, offset, length in sorted(places):
+        assert offset == at.get(sequence, 0)
+        at[sequence] = offset + length
+    assert max(at.values(), default=0) <= room and set(at) == set(range(plan.sequences))
+    return at
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plans_lay_every_piece_once_without_gaps(seed):
+    rng = np.random.default_rng(seed)
+    room = [64, 100, 257, 2048, 7, 1][seed]
+    histogram = np.zeros(room + 1, int)
+    histogram[1:] = rng.integers(0, [60, 9, 3, 2, 500, 40][seed], room)
+    at = laid(histogram, room)
+    assert len(at) <= 1.08 * -(-sum(at.values()) // room) + 1
+
+
+def test_plans_of_odd_histograms():
+    assert laid(np.zeros(65, int), 64) == {}
+    ones = np.zeros(65, int)
+    ones[1] = 1000
+    assert len(laid(ones, 64)) == 16
+    halves = np.zeros(65, int)
+    halves[33], halves[31] = 500, 500
+    assert len(laid(halves, 64)) == 500
+    big = np.zeros(65, int)
+    big[40] = 7
+    assert len(laid(big, 64)) == 7
+
+
+def test_least_squares_without_negatives():
+    rng = np.random.default_rng(1)
+    a = rng.random((12, 30))
+    truth = np.where(rng.random(30) < 0.2, rng.random(30), 0)
+    x = packing.non_negative_least_squares(a, a @ truth)
+    assert (x >= 0).all() and np.allclose(a @ x, a @ truth, atol=1e-8)
+    y = packing.non_negative_least_squares(np.array([[1.0], [1.0]]), np.array([-1.0, -2.0]))
+    assert y.tolist() == [0.0]
+
+
+def test_sequences_hold_the_ids_of_their_pieces(spark):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["one two three " * n for n in range(30)] + [None, "", "\ud55c\uae00 text \U0001f600 <|endoftext|> x", "caf\u00e9 \u201cquoted\u201d \u2013 It\u2019s don't"]
+    packed = packing.pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), path, room=32, end_id=7, with_ids=True)
+    peer = packing.Tokenizer.from_file(path)
+    want = {i: [*peer.encode(t or "", add_special_tokens=False).ids, 7] for i, t in enumerate(texts)}
+    rows = packed.collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+        got.setdefault(r.doc_id, []).extend(r.ids)
+    assert got == want
+    whole = {r.sequence_id: r.ids for r in packing.assemble(packed).collect()}
+    assert all(whole[r.sequence_id][r.offset : r.offset + r.length] == r.ids for r in rows)
+    assert sum(map(len, whole.values())) == sum(map(len, want.values()))
+
+
+def test_a_tokenizer_that_keeps_white_space_is_not_cut_at_it(spark):
+    import public_tokenizers
+
+    encoder = packing.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a  b", "", "x\n\ny z"]
+    ids, sizes = encoder.encode([t.encode() for t in texts])
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and sizes.tolist() == list(map(len, want))
+
+
+# --- collocations --------------------------------------------------------------------
+
+@pytest.mark.parametrize("bits, shards, parts", [(21, 4, 5), (3, 3, 4), (1, 2, 2), (8, 1, 3)])
+def test_phrases_whatever_the_slots_and_shards(spark, bits, shards, parts):
+    rng = random.Random(bits)
+    words = ["der", "Die", "das", "ein", "é", "x"]
+    rows = [(rng.choice(["de", None, "und", "en"]), "".join(rng.choice(words) + rng.choice([" ", " ", "  ", "\t", ". ", "\n", ", "]) for _ in range(rng.randrange(0, 60)))) for _ in range(120)]
+    rows += [("de", "one two three four five six"), ("de", "one two three four five six"), ("en", None)] * 9
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(parts)
+    found = collocations.mine_phrases(docs, least=9, top=40, shards=shards, bits=bits)
+    assert sorted(map(tuple, found.collect())) == brute.phrases(rows, 9, top=40)
+    every = collocations.mine_phrases(docs, least=12, longest=3, top=None, percent=90, shards=shards, bits=bits)
+    assert sorted(map(tuple, every.collect())) == brute.phrases(rows, 12, longest=3, top=None, percent=90)
+
+
+def test_scores_do_not_overflow(spark):
+    big = 2_000_000_000_000
+    grams = [(b"a" * 8, big, "x"), (b"b" * 8, big + 1, "x"), (b"a" * 8 + b"b" * 8, big - 7, "x")]
+    frequent = spark.createDataFrame([(bytearray(g), f, lang) for g, f, lang in grams], "gram binary, f long, lang string")
+    totals = spark.createDataFrame([("x", 90_000_000_000_000)], "lang string, n long")
+    row = collocations.scored(frequent, totals).collect()
+    assert [r.score for r in row] == [1000 * (big - 7) * 90_000_000_000_000 // (big * (big + 1))]
+
+
+# --- alignment -----------------------------------------------------------------------
+
+def test_alignment_by_words_is_that_of_whole_texts():
+    import public_tokenizers
+
+    aligner = alignment.aligner_of(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["x ", " x", "a  b", "a\n b", "a \nb", "a\u00a0 b", "<|endoftext|> <s> x", "\U0001f600 \u65e5\u672c \ufb01", "a\x1c b", "don't 's  \n\n x\t y", "\n", "it is\u3000 so", "plain words here", "x" * 500]
+    assert aligner.by_words
+    by_words = aligner.align(texts)
+    listed = [";".join(aligner.listed[i] for i in places) for places in by_words]
+    aligner.by_words = False
+    try:
+        aligner._clear()
+        whole = aligner.align(texts)
+        assert listed == [";".join(aligner.listed[i] for i in places) for places in whole]
+    finally:
+        aligner.by_words = True
+        aligner._clear()
+
+
+def test_links_of_the_corpus(spark):
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    docs = spark.createDataFrame([(1, "the cat"), (2, "the the dog"), (3, None), (4, "xyz")], "doc_id int, text string").repartition(3)
+    found = alignment.Alignment(docs, *paths, with_groups=True)
+    rows = {r.doc_id: r for r in found.documents().collect()}
+    assert rows[3].listed == "" and rows[3].n_links == 0 and rows[1].n_groups == len(rows[1].listed.split(";"))
+    counts = {(r.a, r.b): r["count"] for r in found.links().collect()}
+    first = tuple(int(x) for x in rows[1].listed.split(";")[0].split("|"))
+    assert counts[first] == 2 and rows[2].n_a == 3

@@ -18,4 +18,4 @@ def test_query_and_sql_agree(spark, small, name):
 
 def test_entry_lists_them():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
-    assert all(any(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 11)) and "pipeline" in QUERIES
+    assert all(any(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 14)) and "pipeline" in QUERIES
