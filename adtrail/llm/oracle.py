@@ -122,8 +122,8 @@ _COLLOCATIONS = r"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
     totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
     cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1),
     cuts AS (SELECT *, array_to_string(words[1:c], ' ') AS head, array_to_string(words[c + 1:], ' ') AS tail FROM (SELECT *, unnest(range(1, k)) AS c FROM cand)),
-    scores AS (SELECT c.lang, c.phrase, c.a, c.c, l.f AS l, r.f AS r, n, (1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS score
-        FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = head JOIN f r ON r.lang = c.lang AND r.phrase = tail JOIN totals USING (lang)),
+    scores AS (SELECT c.lang, c.phrase, c.a, c.c, l.f AS l, r.f AS r, t.n, (1000::HUGEINT * c.a * t.n) // (l.f::HUGEINT * r.f) AS score
+        FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = head JOIN f r ON r.lang = c.lang AND r.phrase = tail JOIN totals t ON t.lang = c.lang),
     best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
     inside AS (SELECT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, max(a) AS longer
         FROM (SELECT lang, a, words, m, unnest(range(1, k - m + 2)) AS i FROM cand, range(2, 5) t(m) WHERE m < k) GROUP BY ALL),
