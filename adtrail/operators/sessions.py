@@ -15,8 +15,8 @@ def sessionize(events: DataFrame, gap_minutes: int = 30, key: str = "user_id", t
     rows = events.select(
         key, F.col(time).alias("ts"), F.col(id).alias("id"), "event_type", "value", micros(time).alias("t")
     )
-    rows = with_segments(rows, [key], "t")
     order = ["t", "id"]
+    rows = with_segments(rows, [key], order)
     previous = carry_last(rows, [key], order, F.col("t"), "previous_t", inclusive=False)
     opens = F.col("previous_t").isNull() | (F.col("t") - F.col("previous_t") > F.lit(gap_minutes * 60_000_000))
     marked = carry_last(previous, [key], order, F.when(opens, F.col("t")), "start_t")

@@ -1,11 +1,15 @@
 """Running sums and carried values along each key's timeline, safe for hot keys.
 
 A window partitioned by a user alone puts a hot user's whole history into one
-task. Here a timeline is cut into segments of an hour: a small table holds one
+task. Here all timelines, end to end, are cut by rows into ranges of about equal
+size, and a segment is what one range holds of one key. A small table holds one
 row per key and segment, prefixes run over that table, and the row-level window
-runs inside (key, segment). The largest task holds one hour of one key, and the
-largest prefix one row per hour of its history. Every frame starts at the
-segment's first row, so the work is linear; no pair of rows is ever formed.
+runs inside (key, segment). The largest task holds one range, however crowded an
+hour of a key is, and the largest prefix one row per range. Every frame starts at
+the segment's first row, so the work is linear; no pair of rows is ever formed.
+
+The cut rows are written once to the shared folder, so that every later step sees
+the same ranges and the source is read once.
 
 Rows with a null key are a group of their own and stay.
 """
@@ -17,7 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOUR_US = 3_600_000_000
+from adtrail.sources.staging import staged
+
 SEGMENT = "_segment"
 
 
@@ -30,10 +35,14 @@ def micros(ts) -> Column:
     return F.when(F.typeof(ts) == "timestamp_ntz", wall).otherwise(F.unix_micros(ts.cast("timestamp")))
 
 
-def with_segments(df: DataFrame, keys: list[str], time: str, width_us: int = HOUR_US) -> DataFrame:
-    """Add the segment number of each row and lay rows out by (key, segment)."""
-    segment = F.floor(F.col(time) / F.lit(width_us)).cast("long")
-    return df.withColumn(SEGMENT, segment).repartition(*keys, SEGMENT)
+def with_segments(df: DataFrame, keys: list[str], order: list[str], ranges: int | None = None) -> DataFrame:
+    """Cut rows, sorted by keys and ``order``, into ``ranges``; add each row's segment and lay rows out by (key, segment).
+
+    Segment numbers grow along a key's order. Only rows that agree in keys and order can't be parted.
+    """
+    count = ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(count, *keys, *order).withColumn(SEGMENT, F.spark_partition_id())
+    return staged(cut, "timeline").repartition(*keys, SEGMENT)
 
 
 def _met(df: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:

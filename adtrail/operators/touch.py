@@ -53,7 +53,7 @@ def _one_touch(touches, conversions, days, dims, first: bool) -> DataFrame:
     else:
         probes = _conversion_rows(conversions, CONVERSION)
     rows = _touch_rows(touches, dims).unionByName(probes, allowMissingColumns=True)
-    rows = with_segments(rows, ["user_id"], "t")
+    rows = with_segments(rows, ["user_id"], ORDER)
     found = carry_last(rows, ["user_id"], ORDER, F.col("touch"), "chosen", descending=first)
     touch_t = micros(F.col("chosen.touch_time"))
     order_t = micros(F.col("conversion.order_time"))
@@ -120,7 +120,7 @@ def shared_credit(
     orders = _conversion_rows(conversions, CONVERSION).withColumn("_block", block(F.col("t")))
     rows = touch_rows.unionByName(orders, allowMissingColumns=True)
     keys = ["user_id", "_block"]
-    rows = with_segments(rows, keys, "t")
+    rows = with_segments(rows, keys, ORDER)
     sign = F.when(F.col("rank") == TOUCH, 1).when(F.col("rank") == EXPIRY, -1)
 
     if linear:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,23 +145,31 @@ def utm_with_ads(
     """Hourly UTM rows full-joined with hourly ads on day, hour, campaign and ad.
 
     The plain form filters on the UTM side's date, which leaves UTM rows only
-    (Catalyst turns the join into a left one). ``keep_ads_only`` filters on
-    whichever date is there, so ad hours without UTM rows stay.
+    (a left join does). ``keep_ads_only`` filters on whichever date is there, so
+    ad hours without UTM rows stay.
+
+    The full join is a left join and the ad hours that no UTM key meets: unlike a
+    full join, a left one lets adaptive execution split an hour that is crowded
+    with rows without ids. The second part meets distinct keys only.
     """
-    day = F.coalesce("u.date_start", "a.a_date") if keep_ads_only else F.col("u.date_start")
     a = ads.select(
         F.col("date_start").alias("a_date"), window_hour("hourly_window").alias("a_hour"),
         *[F.col(c).alias(f"a_{c}") for c in (*AD_COLUMNS, "impressions", "clicks", "spend", "cpm", "cpc", "ctr")],
-    ).alias("a")
-    key = lambda c: F.coalesce(c, F.lit(""))
-    joined = hourly.alias("u").join(
-        a,
-        (F.col("u.date_start") == F.col("a_date"))
-        & (F.col("u.hour_start") == F.col("a_hour"))
-        & (key("u.campaign_id") == key("a_campaign_id"))
-        & (key("u.ad_id") == key("a_ad_id")),
-        "full",
     )
+    key = lambda c: F.coalesce(c, F.lit(""))
+    in_hour = [("date_start", "a_date"), ("hour_start", "a_hour")]
+    in_ids = [("campaign_id", "a_campaign_id"), ("ad_id", "a_ad_id")]
+    u = hourly.alias("u")
+    same = reduce(and_, [F.col(f"u.{x}") == F.col(y) for x, y in in_hour] + [key(f"u.{x}") == key(y) for x, y in in_ids])
+    joined = u.join(a, same, "left")
+    day = F.col("u.date_start")
+    if keep_ads_only:
+        met = hourly.select(*[F.col(x).alias(f"_{x}") for x, _ in in_hour], *[key(x).alias(f"_{x}") for x, _ in in_ids]).distinct()
+        known = reduce(and_, [F.col(f"_{x}") == F.col(y) for x, y in in_hour] + [F.col(f"_{x}") == key(y) for x, y in in_ids])
+        joined = joined.unionByName(a.join(met, known, "left_anti"), allowMissingColumns=True).select(
+            F.struct(*hourly.columns).alias("u"), *a.columns
+        )
+        day = F.coalesce("u.date_start", "a_date")
     kept = joined.where(day.between(F.lit(window.start), F.lit(window.end)) if window else day.isNotNull())
     zero = lambda c, name: F.coalesce(c, F.lit(0)).alias(name)
     spend, clicks = F.coalesce("a_spend", F.lit(0)), F.coalesce("a_clicks", F.lit(0))

@@ -113,14 +113,13 @@ def test_windows(frames, data):
     assert got == {d: sum(1 for c in conversions if alive(touches, c, d)) for d in (1, 7, 28)}
 
 
-def test_segment_width_does_not_matter(spark):
+def test_the_cut_does_not_matter(spark):
     rows = [(1, i * 1_000_000 // 3, i, 1 if i % 4 else None) for i in range(400)] + [(2, i * 86_400_000_000, i, 1) for i in range(5)]
     df = spark.createDataFrame(rows, "k long, t long, id long, v long")
     frames = {}
-    for name, width in (("split", 1_000_000), ("whole", 86_400_000_000)):
-        laid = timeline.with_segments(df, ["k"], "t", width_us=width)
-        if name == "split":
-            assert laid.where("k = 1").select(timeline.SEGMENT).distinct().count() > 100
+    for name, ranges in (("split", 40), ("whole", 1)):
+        laid = timeline.with_segments(df, ["k"], ["t", "id"], ranges)
+        assert laid.where("k = 1").select(timeline.SEGMENT).distinct().count() > (20 if name == "split" else 0)
         summed = timeline.running_sums(laid, ["k"], ["t", "id"], {"s": F.col("v")})
         carried = timeline.carry_last(summed, ["k"], ["t", "id"], F.when(F.col("id") % 7 == 0, F.col("id")), "c", descending=True)
         frames[name] = {(r.k, r.id): (r.s, r.c) for r in carried.collect()}
@@ -133,6 +132,45 @@ def test_segment_width_does_not_matter(spark):
     assert frames["whole"][(1, 8)][1] == 14 and frames["whole"][(1, 398)][1] == 399
 
 
+def crowded(spark, n=6000):
+    """Touches and orders, a third of them in one hour of nobody; many at the same instant."""
+    rng = random.Random(8)
+    user = lambda i: None if i % 3 == 0 else rng.randint(1, 400)
+    at = lambda u: START + (timedelta(seconds=rng.randint(0, 40) * 90) if u is None else timedelta(minutes=rng.randint(0, 30 * 1440)))
+    touches = [(u, i, at(u), f"c{i % 3}", f"a{i % 7}") for i, u in ((i, user(i)) for i in range(n))]
+    orders = [(u, n + i, at(u), float(i % 50)) for i, u in ((i, user(i)) for i in range(n // 10))]
+    t = spark.createDataFrame(touches, "user_id long, touch_id long, touch_time timestamp_ntz, campaign_id string, ad_id string")
+    c = spark.createDataFrame(orders, "user_id long, order_id long, order_time timestamp_ntz, order_value double")
+    return touches, orders, t, c
+
+
+def test_a_crowded_hour_is_cut_by_rows(spark):
+    touches, orders, t, c = crowded(spark)
+    rows = touch._touch_rows(t, []).unionByName(touch._conversion_rows(c, touch.CONVERSION), allowMissingColumns=True)
+    laid = timeline.with_segments(rows, ["user_id"], touch.ORDER, 40)
+    nobody = sum(1 for r in touches + orders if r[0] is None)
+    sizes = [r["count"] for r in laid.groupBy("user_id", timeline.SEGMENT).count().collect()]
+    assert sum(sizes) == len(touches) + len(orders) and max(sizes) < nobody / 10
+
+
+def test_models_with_a_crowded_hour(spark):
+    touches, orders, t, c = crowded(spark, 1500)
+    want = expected_credit((touches, orders), 7, None)
+    got = {r.touch_id: r.credited_revenue for r in touch.linear(t, c, days=7).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    last = {r.order_id: r.touch_id for r in touch.last_click(t, c, days=7).collect()}
+    for o in orders:
+        near = sorted(alive(touches, o, 7), key=lambda x: (x[2], str(x[1])))
+        assert last.get(o[1]) == (near[-1][1] if near else None)
+
+
+def test_events_are_read_once_for_shared_credit(spark, frames, tmp_path):
+    frames[0].write.parquet(f"{tmp_path}/touches")
+    frames[1].write.parquet(f"{tmp_path}/orders")
+    credit = touch.linear(spark.read.parquet(f"{tmp_path}/touches"), spark.read.parquet(f"{tmp_path}/orders"), days=7)
+    assert not [f for f in credit.inputFiles() if str(tmp_path) in f]  # the rows cut into ranges are all it reads again
+
+
 def test_sessions(spark):
     at = lambda m: START + timedelta(minutes=m)
     rows = [(1, 1, at(0), "view", 0.0), (1, 2, at(20), "purchase", 9.0), (1, 3, at(51), "view", 0.0), (2, 4, at(1430), "view", 0.0), (2, 5, at(1450), "click", 1.0), (None, 6, at(1), "view", 0.0), (None, 7, at(90), "view", 0.0)]
