@@ -14,6 +14,7 @@ from adtrail.functions.journey import UTM_FIELDS
 from adtrail.functions.measures import half_up, mean, ratio, safe_div
 from adtrail.functions.text import digits_or_null, hour_label, window_hour
 from adtrail.operators.ads import ad_rates
+from adtrail.sources.staging import staged
 from adtrail.sources.tables import DateWindow, utm_orders
 
 UTM = [f"utm_{f}" for f in UTM_FIELDS]
@@ -159,6 +160,8 @@ def utm_with_ads(
     key = lambda c: F.coalesce(c, F.lit(""))
     in_hour = [("date_start", "a_date"), ("hour_start", "a_hour")]
     in_ids = [("campaign_id", "a_campaign_id"), ("ad_id", "a_ad_id")]
+    if keep_ads_only:  # read by both parts
+        hourly = staged(hourly, "utm-hours")
     u = hourly.alias("u")
     same = reduce(and_, [F.col(f"u.{x}") == F.col(y) for x, y in in_hour] + [key(f"u.{x}") == key(y) for x, y in in_ids])
     joined = u.join(a, same, "left")

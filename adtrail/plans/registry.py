@@ -15,10 +15,11 @@ from adtrail.functions.text import wall_clock
 from adtrail.operators import adlevel, ads, granular, mapping, platforms, products, quality, reports, sessions, sku, touch, utm
 from adtrail.operators.attribution import attribute, with_ad_id, with_channels, with_touch
 from adtrail.operators.orders import fold_lines, priced_lines
-from adtrail.plans import mapping_views, utm_views, warehouse
+from adtrail.plans import mapping_views, sql_functions, utm_views, warehouse
 from adtrail.sources import sinks, testbed
 from adtrail.sources.tables import DateWindow, newest_active, order_window, orders_with_skus, profile, utm_orders, wide_orders
 from adtrail.streaming.hourly import hourly_metrics
+from adtrail.streaming.live import live_last_click
 
 AS_OF = date(2024, 1, 30)
 MONTH = DateWindow(date(2024, 1, 1), date(2024, 1, 30))
@@ -510,6 +511,25 @@ def utm_period_slice(t):
     return utm.period_slice(t.hourly(), DateWindow(date(2024, 1, 10), date(2024, 1, 20)))
 
 
+@query
+def utm_period_by_model(t):
+    """The period function of SQL under every model."""
+    sql_functions.register_period_function(t.hourly(), *t.touches(), days=7, half_life_days=2.0)
+    period = "DATE '2024-01-05', DATE '2024-01-20'"
+    each = [f"SELECT '{m}' AS model, * FROM calculate_utm_attribution({period}, '{m}')" for m in sql_functions.CREDIT_MODELS]
+    out = t.spark.sql(" UNION ALL ".join([f"SELECT 'last_click' AS model, * FROM calculate_utm_attribution({period})", *each]))
+    return out.withColumns({c: half_up(F.col(c), 4) for c in ("revenue", "orders")})
+
+
+@query
+def sql_channel_rules(t):
+    """The channel function of SQL on every order."""
+    sql_functions.register_channel_function(t.spark)
+    t.orders().createOrReplaceTempView("orders_with_utm")
+    return t.spark.sql("""SELECT order_id, rule.* FROM (SELECT order_id,
+        get_utm_channel(customer_utm_source, customer_utm_medium, customer_utm_campaign, customer_utm_content) AS rule FROM orders_with_utm)""")
+
+
 @query
 def utm_ads_hourly(t):
     return t.performance()
@@ -726,6 +746,13 @@ def touch_last(t):
     return touch.last_click(*t.touches(), days=7).drop("age_days")
 
 
+@query
+def live_orders(t):
+    """Live attribution over the whole tables, as the stream gives it in the end."""
+    out = live_last_click(*t.touches(), days=7)
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("order_time", "touch_time")})
+
+
 def _rounded(df):
     return df.withColumns({c: half_up(F.col(c), 4) for c in ("credited_revenue", "credited_orders")})
 

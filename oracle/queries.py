@@ -539,6 +539,8 @@ def _shared(model: str, weighted: str) -> str:
         SELECT touch_id, SUM(part * order_value::DOUBLE) AS r, SUM(part) AS o FROM ({weighted}) GROUP BY touch_id) p USING (touch_id)"""
 
 
+SQL["live_orders"] = f"""SELECT c.order_id, {ts('c.order_time')} AS order_time, {dbl('c.order_value')} AS order_value, c.user_id, l.touch_id, l.touch_time, l.campaign_id, l.ad_id,
+    'last_click' AS attribution_model FROM con c LEFT JOIN ({SQL['touch_last']}) l USING (order_id)"""
 SQL["touch_linear"] = _shared("linear", _LINEAR)
 SQL["touch_decay"] = _shared("time_decay", _DECAY)
 _LAST28 = f"SELECT * FROM ({_PAIRS.format(28)}) QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY touch_time DESC, CAST(touch_id AS VARCHAR) DESC) = 1"
@@ -552,6 +554,24 @@ SQL["touch_credit_by_campaign"] = " UNION ALL ".join([
     _BYCAMP.format("linear", _ALLTOUCH.format(_LINEAR)), _BYCAMP.format("time_decay", _ALLTOUCH.format(_DECAY)),
 ])
 
+SQL["sql_channel_rules"] = SQL["regex_channel_rules"]
+
+
+def _credited(model: str, rows: str) -> str:
+    return f"""SELECT '{model}' AS model, {day('CAST(touch_time AS TIMESTAMP)')} AS date_start, {big('hour(CAST(touch_time AS TIMESTAMP))')} AS hour_start, campaign_id, ad_id, NULL AS utm_source, NULL AS utm_medium,
+        NULL AS utm_campaign, NULL AS channel, NULL::BIGINT AS sessions, NULL::BIGINT AS conversions, {rnd('SUM(r)', 4)} AS revenue, {rnd('SUM(o)', 4)} AS orders
+        FROM ({rows}) WHERE CAST(touch_time AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY ALL"""
+
+
+_BY_TOUCH = "SELECT touch_time, campaign_id, ad_id, credited_revenue AS r, credited_orders AS o FROM ({0}) WHERE credited_orders > 0"
+SQL["utm_period_by_model"] = " UNION ALL ".join([
+    f"""SELECT 'last_click' AS model, {day('date_start')} AS date_start, {big('hour_start')} AS hour_start, campaign_id, ad_id, utm_source, utm_medium, utm_campaign, channel,
+        {big('total_sessions')} AS sessions, {big('total_conversions')} AS conversions, {rnd('total_revenue', 4)} AS revenue, {rnd('total_orders', 4)} AS orders
+        FROM hrly WHERE date_start BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
+    _credited("first_click", f"SELECT touch_time, campaign_id, ad_id, order_value AS r, 1.0::DOUBLE AS o FROM ({SQL['touch_first']})"),
+    _credited("linear", _BY_TOUCH.format(SQL["touch_linear"])), _credited("time_decay", _BY_TOUCH.format(SQL["touch_decay"])),
+])
+
 # --- platforms ---------------------------------------------------------------------------------
 SQL["platform_roles"] = """SELECT order_id, platform_group, meta_platform, google_campaign, google_ad_group, google_keyword, meta_campaign, meta_ad, meta_adset,
     CASE platform_group WHEN 'Google' THEN COALESCE(NULLIF(google_ad_group, ''), NULLIF(google_campaign, ''), NULLIF(google_keyword, ''))

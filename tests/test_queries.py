@@ -1,5 +1,7 @@
 """Registered queries against their check SQL, and the shape of their plans."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry
@@ -46,3 +48,25 @@ def test_filters_and_columns_reach_the_scan(spark, small):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_other_queries_stay_without_an_optional_library():
+    """A library that only the llm operators need may be missing."""
+    import subprocess
+    import sys
+
+    hide = "import sys; sys.modules['ahocorasick'] = None; import __spark_entry__ as e; q = e.queries(); assert len(q) >= 147 and not any(k.startswith('op') and k[2].isdigit() for k in q), len(q); assert set(e.oracle_sql()) <= set(q)"
+    done = subprocess.run([sys.executable, "-c", hide], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+
+
+def test_an_unknown_model_is_refused(spark, small):
+    from adtrail.plans import registry, sql_functions
+
+    inputs = registry.Inputs(spark, small)
+    sql_functions.register_period_function(inputs.hourly(), *inputs.touches())
+    with pytest.raises(Exception, match="unknown attribution model"):
+        spark.sql("SELECT * FROM calculate_utm_attribution(DATE '2024-01-01', DATE '2024-02-01', 'guess')").collect()
