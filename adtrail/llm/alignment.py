@@ -23,8 +23,6 @@ import hashlib
 import json
 import re
 from array import array
-from collections import Counter
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +36,9 @@ from adtrail.llm.store import fresh_folder, written
 from adtrail.llm.words import blocks
 
 SPACE_MARK = "▁"
+#: Text bytes of a block, and links up to which a group is linked token by token.
+BLOCK = 1 << 20
+WIDE = 256
 
 
 # --- the two tokenizers --------------------------------------------------------------
@@ -83,33 +84,45 @@ class PieceSide:
         return self.model.encode(texts, num_threads=1) if texts else []
 
 
-def ends_of(ids: list[int], bytes_of: list[bytes]) -> dict[int, int]:
-    """Byte offset at which a token ends -> number of tokens up to there."""
-    return dict(zip(accumulate([len(bytes_of[i]) for i in ids]), range(1, len(ids) + 1)))
+def cuts(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offset, tokens of a, tokens of b up to there) wherever tokens of both sides end; sizes are the tokens' bytes."""
+    a_ends = dict(zip(np.cumsum(a_sizes).tolist(), range(1, len(a_sizes) + 1)))
+    b_ends = dict(zip(np.cumsum(b_sizes).tolist(), range(1, len(b_sizes) + 1)))
+    both = sorted(a_ends.keys() & b_ends.keys())
+    at = lambda ends: np.fromiter(map(ends.__getitem__, both), np.int64, len(both))
+    return np.array(both, np.int64), at(a_ends), at(b_ends)
 
 
-def groups(a_ids: list[int], b_ids: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> list[tuple[list[int], list[int]]]:
-    """The id lists cut where tokens of both sides end."""
-    a_ends, b_ends = ends_of(a_ids, a_bytes), ends_of(b_ids, b_bytes)
-    out, a_from, b_from = [], 0, 0
-    for end in sorted(a_ends.keys() & b_ends.keys()):
-        a_to, b_to = a_ends[end], b_ends[end]
-        out.append((a_ids[a_from:a_to], b_ids[b_from:b_to]))
-        a_from, b_from = a_to, b_to
-    return out
+def crossed(a_ids, b_ids, a_from, b_from, a_size, b_size) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, pair, times) of the links inside groups: small groups link by link, large ones by their distinct ids."""
+    links = a_size * b_size
+    small = np.flatnonzero(links <= WIDE)
+    sizes = links[small]
+    group = np.repeat(small, sizes)
+    nth = np.arange(len(group)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    pair = a_ids[a_from[group] + nth // b_size[group]] << 32 | b_ids[b_from[group] + nth % b_size[group]]
+    parts = [(group, pair, np.ones(len(group), np.int64))]
+    for g in np.flatnonzero(links > WIDE).tolist():
+        a, n = np.unique(a_ids[a_from[g] : a_from[g] + a_size[g]], return_counts=True)
+        b, m = np.unique(b_ids[b_from[g] : b_from[g] + b_size[g]], return_counts=True)
+        parts.append((np.full(len(a) * len(b), g), (a[:, None] << 32 | b).ravel(), np.outer(n, m).ravel()))
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 class Aligner:
     """Alignments of texts, or of the words of texts, by number: listed groups, sizes and links."""
 
     #: Words remembered; when the memo is full it starts anew, which costs time and changes no result.
-    MEMO = 400_000
+    MEMO = 200_000
     #: Characters of remembered words and listed groups, likewise.
-    MEMO_CHARACTERS = 100_000_000
+    MEMO_CHARACTERS = 50_000_000
 
     def __init__(self, a: ByteLevelSide, b: PieceSide):
         self.a, self.b = a, b
         self.by_words = a.by_words and b.by_words
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, side.bytes_of)), np.int64) for side in (a, b))
+        self.a_count, self.b_count = len(a.bytes_of), len(b.bytes_of)
+        self.names = [f"{i}{sign}" for count, signs in ((self.a_count, ",|"), (self.b_count, ",;")) for sign in signs for i in range(count)]
         #: Texts with a space after white space or at the end are not cut.
         self.whole = re.compile(r"\s | \Z").search
         self._clear()
@@ -122,36 +135,50 @@ class Aligner:
         self.pairs, self.times = array("q"), array("q")
         self.broken: set[int] = set()  # alignments of texts that have no tokens
 
-    def _learn(self, text: str, a_ids: list[int], b_ids: list[int]) -> None:
-        """Add the alignment of ``text`` to those that are known."""
-        a_bytes, b_bytes = self.a.bytes_of, self.b.bytes_of
-        data = b" " + text.encode()
-        if b"".join([a_bytes[i] for i in a_ids]) != data or b"".join([b_bytes[i] for i in b_ids]) != data:
-            self.broken.add(len(self.listed))
-            self.listed.append("")
-            self.sizes.extend((0, 0, 0, 0, 0))
-            return
-        pairs, names, links = {}, [], 0
-        cut = groups(a_ids, b_ids, a_bytes, b_bytes)
-        for a, b in cut:
-            if len(a) == len(b) == 1:
-                pair = a[0] << 32 | b[0]
-                pairs[pair] = pairs.get(pair, 0) + 1
-                names.append(f"{a[0]}|{b[0]}")
-                links += 1
-                continue
-            names.append(",".join(map(str, a)) + "|" + ",".join(map(str, b)))
-            links += len(a) * len(b)
-            of_b = Counter(b)
-            for i, n in Counter(a).items():
-                for j, m in of_b.items():
-                    pair = i << 32 | j
-                    pairs[pair] = pairs.get(pair, 0) + n * m
-        self.listed.append(";".join(names))
-        self.characters += len(text) + len(self.listed[-1])
-        self.pairs.extend(pairs.keys())
-        self.times.extend(pairs.values())
-        self.sizes.extend((len(a_ids), len(b_ids), len(cut), links, len(pairs)))
+    def _learn(self, texts: list[str]) -> None:
+        """Add the alignments of ``texts`` to those that are known, all at once: they stand end to end."""
+        a_lists, b_lists = self.a.encode(texts), self.b.encode(texts)
+        data = [b" " + t.encode() for t in texts]
+        whole = [
+            b"".join([self.a.bytes_of[i] for i in a]) == d and b"".join([self.b.bytes_of[i] for i in b]) == d
+            for a, b, d in zip(a_lists, b_lists, data)
+        ]
+        base = len(self.listed)
+        self.places.update(zip(texts, range(base, base + len(texts))))
+        self.broken.update(base + i for i, fine in enumerate(whole) if not fine)
+        kept = [i for i, fine in enumerate(whole) if fine]
+        listed, sizes = [""] * len(texts), np.zeros((len(texts), 5), np.int64)
+        if kept:
+            a_ids = np.array([x for i in kept for x in a_lists[i]], np.int64)
+            b_ids = np.array([x for i in kept for x in b_lists[i]], np.int64)
+            offset, a_to, b_to = cuts(self.a_sizes[a_ids], self.b_sizes[b_ids])
+            a_from, b_from = np.concatenate([[0], a_to[:-1]]), np.concatenate([[0], b_to[:-1]])
+            a_size, b_size = a_to - a_from, b_to - b_from
+            ends = np.cumsum([len(data[i]) for i in kept])
+            text = np.searchsorted(ends, offset)  # of each group
+            group, pair, times = crossed(a_ids, b_ids, a_from, b_from, a_size, b_size)
+            order = np.lexsort((pair, text[group]))
+            of, pair, times = text[group][order], pair[order], times[order]
+            first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (pair[1:] != pair[:-1])]))
+            times = np.add.reduceat(times, first)
+            self.pairs.frombytes(pair[first].tobytes())
+            self.times.frombytes(times.tobytes())
+            n = len(kept)
+            count = lambda weights: np.bincount(text, weights, n).astype(np.int64)
+            sizes[kept] = np.stack([count(a_size), count(b_size), count(None), np.bincount(of[first], times, n).astype(np.int64), np.bincount(of[first], minlength=n)], axis=1)
+            # Groups as text: each id with the sign that follows it, in the order of the groups.
+            names = np.zeros(len(a_ids) + len(b_ids), np.int64)
+            a_last, b_last = np.zeros(len(a_ids), bool), np.zeros(len(b_ids), bool)
+            a_last[a_to - 1], b_last[b_to - 1] = True, True
+            names[np.arange(len(a_ids)) + np.repeat(b_from, a_size)] = a_ids + a_last * self.a_count
+            names[np.arange(len(b_ids)) + np.repeat(a_to, b_size)] = 2 * self.a_count + b_ids + b_last * self.b_count
+            spelled = list(map(self.names.__getitem__, names.tolist()))
+            upto = np.cumsum(sizes[kept, 0] + sizes[kept, 1]).tolist()
+            for i, start, end in zip(kept, [0, *upto], upto):
+                listed[i] = "".join(spelled[start:end])[:-1]
+        self.listed += listed
+        self.sizes.frombytes(sizes.tobytes())
+        self.characters += sum(map(len, texts)) + sum(map(len, listed))
 
     def align(self, texts: list[str]) -> list[list[int]]:
         """For each text the numbers of the alignments that make it up, side by side."""
@@ -160,11 +187,8 @@ class Aligner:
         parted = [[] if not t else [t] if not self.by_words or self.whole(" " + t) else t.split(" ") for t in texts]
         held = [list(map(self.places.get, words)) for words in parted]
         new = list({w for words, places in zip(parted, held) if None in places for w, place in zip(words, places) if place is None})
-        for first in range(0, len(new), 10_000):
-            some = new[first : first + 10_000]
-            for text, a_ids, b_ids in zip(some, self.a.encode(some), self.b.encode(some)):
-                self.places[text] = len(self.listed)
-                self._learn(text, a_ids, b_ids)
+        for first in range(0, len(new), 5_000):
+            self._learn(new[first : first + 5_000])
         return [list(map(self.places.__getitem__, words)) if None in places else places for words, places in zip(parted, held)]
 
 
@@ -199,7 +223,7 @@ def _aligned(docs: DataFrame, a_path: str, b_path: str, with_groups: bool) -> Da
                 ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("held", pa.list_(pa.int32())), ("times", pa.list_(pa.int64())),
                 ("pairs", pa.list_(pa.int64())), ("docs", pa.list_(pa.int64())), *extra,
             ])
-            for start, end in blocks(batch, "_text"):
+            for start, end in blocks(batch, "_text", BLOCK):
                 part = batch.slice(start, end - start)
                 parts = aligner.align([(data or b"").decode("utf-8", "replace") if _is_text(data) else "" for data in part.column("_text").to_pylist()])
                 listed, each = aligner.listed, np.array(aligner.sizes, np.int64).reshape(-1, 5)

@@ -56,13 +56,13 @@ def run_starts(lengths: list[int], n: int) -> np.ndarray:
     return np.arange(len(ends)) + n <= ends
 
 
-def blocks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int]]:
-    """Row ranges of a batch that hold about BLOCK_BYTES of ``column`` each."""
+def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of a batch that hold about ``most`` bytes of ``column`` each."""
     lengths = batch.column(column).cast(pa.large_binary())
     sizes = [0 if v is None else v for v in pa.compute.binary_length(lengths).to_pylist()]
     start = held = 0
     for i, size in enumerate(sizes):
-        if i > start and held + size > BLOCK_BYTES:
+        if i > start and held + size > most:
             yield start, i
             start, held = i, 0
         held += size
