@@ -5,7 +5,9 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from adtrail.operators import touch
 from adtrail.plans.registry import QUERIES
+from adtrail.sources import testbed
 from oracle.queries import ORACLE
 from tests.compare import difference, duck
 
@@ -14,7 +16,8 @@ CHECKED = [
     "granular_hourly", "ad_level_summary", "daily_platform_comparison", "range_join_kpis", "sku_performance",
     "order_ad_mapping", "daily_ad_performance", "utm_hourly_metrics", "utm_ads_full_outer", "coverage_comparison",
     "hierarchy_rollup", "product_match_by_substring", "touch_linear", "touch_decay", "meta_ad_performance",
-    "quality_score", "run_alerts", "latest_upsert", "audit_sample", "event_sessions",
+    "quality_score", "run_alerts", "latest_upsert", "audit_sample", "event_sessions", "live_orders", "sql_channel_rules",
+    "utm_period_by_model",
 ]
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF"]
 
@@ -40,7 +43,11 @@ def test_query(spark, small, con, name):
 
 
 def test_filters_and_columns_reach_the_scan(spark, small):
-    plan = entry.queries()["touch_last"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    # What the touch models write as cut rows, and the same orders where nothing is written.
+    orders = touch._conversion_rows(testbed.conversions(spark, small), touch.CONVERSION)
+    plan = orders._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,purchase)" in plan
+    plan = entry.queries()["live_orders"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,purchase)" in plan
     plan = entry.queries()["channel_breakdown"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "lineitem" not in plan and "events" not in plan
