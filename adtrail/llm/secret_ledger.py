@@ -56,9 +56,15 @@ RULES = (
     # Runs are taken whole, so a least length in the pattern finds what a length check after ``+`` would.
     Rule("access", r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", r"[0-9a-f]{16,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
-    Rule("hosting_token", r"gh[pousr]_[A-Za-z0-9]{36,255}"),
-    Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,255}"),
+    # The whole block: head, header lines, body (line ends may be spelled as in a JSON string) and the END line. Where
+    # that is missing, all that can be body goes.
+    Rule(
+        "private_key",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[\t\n\r ]*[A-Za-z0-9-]+: [^\n]*\n){0,20}[A-Za-z0-9+/=\\\t\n\r ]*(?:-----END [A-Z ]*PRIVATE KEY-----)?",
+        version=2,
+    ),
+    Rule("hosting_token", r"gh[pousr]_[A-Za-z0-9]{36,}", version=2),
+    Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", version=2),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
 )
 BASE_KINDS = ("assign", "access", "hex")

@@ -36,6 +36,23 @@ def test_redaction(spark):
     assert [r[0] for r in df.select(secret_ledger.redact(F.col("t"), F.col("s"), "#")).collect()] == ["é#56#", "plain", "x"]
 
 
+def test_no_character_of_a_key_or_token_is_left(spark, tmp_path):
+    body = "\n".join("MIIEpAIBAAKCAQEA" + "x+/Z9" * 9 for _ in range(6)) + "=="
+    texts = [
+        f"before -----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY----- after. Words",
+        f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB12\n\n{body}\n-----END RSA PRIVATE KEY-----\nafter. Words",
+        f"-----BEGIN PRIVATE KEY-----\n{body}",
+        '"-----BEGIN PRIVATE KEY-----' + body.replace("\n", "\\n") + '\\n-----END PRIVATE KEY-----" after. Words',
+        "ghp_" + "a1B2" * 200 + ". Words", "xoxb-" + "a1B2-" * 200 + "; Words",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = secret_ledger.scan_paths(spark, docs, ["doc_id"], "text", str(tmp_path / "ledger"))
+    masked = docs.join(found.select("doc_id", "spans"), "doc_id").select("doc_id", secret_ledger.redact(F.col("text"), F.col("spans")).alias("t"))
+    left = {r.doc_id: r.t for r in masked.collect()}
+    assert all("MIIE" not in t and "Z9" not in t and "a1B2" not in t and "KEY" not in t and "AES" not in t for t in left.values())
+    assert all(left[i].endswith("Words") for i in (0, 1, 3, 4, 5)) and left[0].startswith("before ")
+
+
 # --- URL rules -----------------------------------------------------------------------
 
 def test_trie_join_and_brute_force_agree(spark):
