@@ -8,9 +8,12 @@ The PREFIX words at an anchor are the prefix by which suffixes are parted:
 * a prefix with up to ``crowd`` places forms, with others, a group that fits in memory. Its suffixes are sorted level by
   level (1, 2, 4 ... words), which parts them like the nodes of their suffix tree; those that still stand together at
   depth ``window`` hang under one deep internal node, a repeat;
-* a prefix with more places is lengthened to all ``window`` words at once. Such a prefix is a node at that depth by
-  itself, so only its least document id is needed. Places with the same words are folded first, so a passage that a
-  third of the documents hold costs its own words, and one row for each document.
+* a prefix with more places is lengthened. Neighbouring windows under such prefixes are joined to one stretch, whose words
+  are written once; in it every window names its least-hashed run of 16 words, then of 32, and so on. Each level is
+  written; prefixes that have become short of places go the two ways above, and only what is still crowded goes on;
+* a prefix of all ``window`` words is a deep node by itself, and no group is needed for it: its least document id, found
+  by folding before the shuffle, is its owner. Owners are told which windows are theirs, so rows of a passage that a
+  third of the documents hold are never joined with one another, nor with its node.
 
 A word is removed if it is covered by a window that also starts in a document with a smaller id. Windows are judged on
 the input. Documents with the same words are one: of such copies only those with the least id are searched.
@@ -23,6 +26,7 @@ rows. Only the id and text columns are read.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -51,11 +55,26 @@ def least_places(grams: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def anchors(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts of windows, their anchors, the hash at each anchor) for hashed words laid end to end."""
-    grams = gram_hashes(words, PREFIX)
-    at = least_places(grams, window - PREFIX + 1)[: max(0, len(words) - window + 1)]
-    return np.arange(len(at)), at, grams[at] if len(at) else np.zeros(0, np.uint64)
+def anchors(texts: list[list[bytes]], window: int, length: int) -> tuple[np.ndarray, ...]:
+    """(text number, prefix, place, first window, last window) of each anchor: the least-hashed run of ``length`` words.
+
+    Places count from the start of the text. Windows with one anchor stand side by side.
+    """
+    sizes = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(sizes)
+    words = hashed([w for t in texts for w in t])
+    grams = gram_hashes(words, length)
+    at = least_places(grams, window - length + 1)[: max(0, len(words) - window + 1)]
+    starts = np.arange(len(at))
+    inside = starts + window <= np.repeat(ends, sizes)[: len(starts)]
+    starts, at = starts[inside], at[inside]
+    owner = np.searchsorted(ends, at, side="right")
+    first = np.ones(len(at), bool)
+    first[1:] = at[1:] != at[:-1]
+    los = np.flatnonzero(first)
+    his = np.append(los[1:], len(at))[: len(los)] - 1
+    base = (ends - sizes)[owner[los]]
+    return owner[los], grams[at[los]].view(np.int64), at[los] - base, starts[los] - base, starts[his] - base
 
 
 def _scan(docs: DataFrame, window: int) -> DataFrame:
@@ -68,22 +87,14 @@ def _scan(docs: DataFrame, window: int) -> DataFrame:
                 part = batch.slice(start, end - start)
                 texts = [(data or b"").split() for data in part.column("_text").to_pylist()]
                 sizes = np.array([len(t) for t in texts])
-                ends = np.cumsum(sizes)
-                starts, at, keys = anchors(hashed([w for t in texts for w in t]), window)
-                inside = starts + window <= np.repeat(ends, sizes)[: len(starts)]
-                starts, at, keys = starts[inside], at[inside], keys[inside]
-                first = np.ones(len(at), bool)
-                first[1:] = at[1:] != at[:-1]
-                starts, at, keys = starts[first], at[first], keys[first]
-                owner = np.searchsorted(ends, at, side="right")
-                base = (ends - sizes)[owner]
+                owner, keys, at, los, _ = anchors(texts, window, PREFIX)
                 offsets = pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)), pa.int32())
                 listed = lambda values, kind: pa.ListArray.from_arrays(offsets, pa.array(values, kind))
                 shas = [hashlib.sha256(b" ".join(t)).hexdigest() for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("_id"), part.column("_key"), pa.array(sizes, pa.int64()), pa.array(shas),
-                        listed(keys.view(np.int64), pa.int64()), listed(at - base, pa.int32()), listed(starts - base, pa.int32()),
+                        listed(keys, pa.int64()), listed(at, pa.int32()), listed(los, pa.int32()),
                     ],
                     names=["_id", "_key", "n_words", "sha", "keys", "ats", "los"],
                 )
@@ -91,58 +102,94 @@ def _scan(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, f"_id {kind}, _key bigint, n_words bigint, sha string, keys array<bigint>, ats array<int>, los array<int>")
 
 
-def _places(texts: DataFrame, window: int) -> DataFrame:
-    """(_id, _key, prefix, lo, words, content) of documents with their shared anchors: the words of all windows of each.
+#: What becomes of a window: it repeats nowhere, is decided within a group, or its prefix is lengthened.
+ALONE, GROUPED, LENGTHENED = 0, 1, 2
+
+
+def _parted(rows: DataFrame, window: int, unmarked: int) -> DataFrame:
+    """(_id, _key, prefix, lo, hi, words): places of groups and, without a prefix, stretches of windows to lengthen.
 
-    Crowded places have no prefix, but the digest of their words as ``content``.
+    ``rows`` are (_id, _key, start, _text, marks): words from place ``start`` on, and the ``way`` of windows lo to hi;
+    windows without a mark go the way ``unmarked``. ``words`` are those of the windows lo to hi. Of equal rows, which meet
+    in one task, the first is enough.
     """
-    kind = texts.schema["_id"].dataType.simpleString()
-    names = ["_id", "_key", "prefix", "lo", "words", "content"]
+    kind = rows.schema["_id"].dataType.simpleString()
+    names = ["_id", "_key", "prefix", "lo", "hi", "words"]
 
     def run(batches):
+        seen = set()
         for batch in batches:
-            types = [batch.schema.field("_id").type, pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            types = [batch.schema.field("_id").type, pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             schema = pa.schema(list(zip(names, types)))
             rowed = lambda out: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-            for start, end in blocks(batch, "_text"):
-                part, out = batch.slice(start, end - start), []
-                rows = zip(part.column("_id").to_pylist(), part.column("_key").to_pylist(), part.column("_text").to_pylist(), part.column("shared").to_pylist(), strict=True)
-                for id, key, data, shared in rows:
+            for first, last in blocks(batch, "_text"):
+                part, out = batch.slice(first, last - first), []
+                for id, key, start, data, marks in zip(*[part.column(c).to_pylist() for c in ("_id", "_key", "start", "_text", "marks")], strict=True):
+                    if (id, key, start) in seen:
+                        continue
+                    seen.add((id, key, start))
                     words = data.split()
                     joined = b" ".join(words)
                     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1).tolist()
                     begin = [0, *ends]
-                    for anchor in shared:
-                        lo, hi = anchor["lo"], anchor["hi"]
-                        held = joined[begin[lo] : ends[hi + window - 1] - 1]
-                        crowded = anchor["crowded"]
-                        out.append((id, key, None if crowded else anchor["prefix"], lo, held, hashlib.blake2b(held, digest_size=16).digest() if crowded else None))
+                    held = lambda lo, hi: joined[begin[lo - start] : ends[hi - start + window - 1] - 1]
+                    ways = np.full(len(words) - window + 3, unmarked, np.int8)
+                    ways[[0, -1]] = ALONE  # a frame, so that every stretch has both edges
+                    for mark in marks or []:
+                        lo, hi = mark["lo"], mark["hi"]
+                        ways[lo - start + 1 : hi - start + 2] = mark["way"]
+                        if mark["way"] == GROUPED:
+                            out.append((id, key, mark["prefix"], lo, hi, held(lo, hi)))
+                    edges = np.flatnonzero(np.diff((ways == LENGTHENED).astype(np.int8)))
+                    for lo, end in edges.reshape(-1, 2).tolist():
+                        out.append((id, key, None, start + lo, start + end - 1, held(start + lo, start + end - 1)))
                     if len(out) > 10_000:
                         yield rowed(out)
                         out = []
                 if out:
                     yield rowed(out)
 
-    return texts.mapInArrow(run, f"_id {kind}, _key bigint, prefix bigint, lo int, words binary, content binary")
+    return rows.mapInArrow(run, f"_id {kind}, _key bigint, prefix bigint, lo int, hi int, words binary")
 
 
-def _whole_prefixes(contents: DataFrame, window: int) -> DataFrame:
-    """(content, at, node) for each window of each content."""
+def _lengthened(stretches: DataFrame, window: int, length: int) -> DataFrame:
+    """(_id, _key, start, prefix, lo, hi): the anchors of ``length`` words in stretches that begin at ``start``."""
+    kind = stretches.schema["_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            for start, end in blocks(batch, "words"):
-                out = []
-                for content, held in zip(*[batch.column(c).slice(start, end - start).to_pylist() for c in ("content", "words")], strict=True):
-                    words = held.split(b" ")
-                    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1).tolist()
-                    begin = [0, *ends]
-                    for at in range(len(words) - window + 1):
-                        out.append((content, at, hashlib.blake2b(held[begin[at] : ends[at + window - 1] - 1], digest_size=16).digest()))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), pa.int32(), pa.binary()))], names=["content", "at", "node"])
+            for first, last in blocks(batch, "words"):
+                part = batch.slice(first, last - first)
+                texts = [held.split() for held in part.column("words").to_pylist()]
+                owner, keys, _, los, his = anchors(texts, window, length)
+                start = np.array(part.column("lo").to_pylist(), np.int64)[owner]
+                owner = pa.array(owner)
+                columns = [part.column("_id").take(owner), part.column("_key").take(owner)]
+                columns += [pa.array(start, pa.int32()), pa.array(keys), pa.array(start + los, pa.int32()), pa.array(start + his, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=["_id", "_key", "start", "prefix", "lo", "hi"])
+
+    return stretches.select("_id", "_key", "lo", "words").mapInArrow(run, f"_id {kind}, _key bigint, start int, prefix bigint, lo int, hi int")
+
+
+def _whole_prefixes(stretches: DataFrame, window: int) -> DataFrame:
+    """(_id, _key, lo, node) of each window of each stretch: the digest of its words names the node."""
+    kind = stretches.schema["_id"].dataType.simpleString()
 
-    return contents.select("content", "words").mapInArrow(run, "content binary, at int, node binary")
+    def run(batches):
+        for batch in batches:
+            for first, last in blocks(batch, "words"):
+                part = batch.slice(first, last - first)
+                for i, (lo, held) in enumerate(zip(part.column("lo").to_pylist(), part.column("words").to_pylist(), strict=True)):
+                    words = held.split()
+                    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+                    count = len(words) - window + 1
+                    cuts = zip([0, *ends.tolist()], (ends[window - 1 :] - 1).tolist())
+                    nodes = [hashlib.blake2b(held[a:b], digest_size=16).digest() for a, b in cuts]
+                    same = pa.array(np.full(count, i))
+                    columns = [part.column("_id").take(same), part.column("_key").take(same), pa.array(np.arange(lo, lo + count), pa.int32()), pa.array(nodes, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["_id", "_key", "lo", "node"])
+
+    return stretches.select("_id", "_key", "lo", "words").mapInArrow(run, f"_id {kind}, _key bigint, lo int, node binary")
 
 
 def deep_nodes(texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,14 +259,21 @@ def _repeats(places: DataFrame, window: int) -> DataFrame:
 
 
 def _kept(texts: DataFrame, window: int) -> DataFrame:
-    """(_id, _key, n_removed, kept_sha256) of documents with their ``runs`` of repeated windows."""
+    """(_id, _key, n_removed, kept_sha256) of documents: windows in ``runs`` go, and those in ``crowded`` that are not ``owned``."""
     kind = texts.schema["_id"].dataType.simpleString()
 
-    def work(data: bytes, runs: list[dict]) -> tuple[int, str]:
+    def work(data: bytes, runs: list[dict], crowded: list[dict], owned: list[int]) -> tuple[int, str]:
         words = data.split()
+        repeats = np.zeros(len(words), bool)
+        for stretch in crowded:
+            repeats[stretch["lo"] : stretch["hi"] + 1] = True
+        repeats[owned] = False
+        for stretch in runs:
+            repeats[stretch["lo"] : stretch["hi"] + 1] = True
         edges = np.zeros(len(words) + 1, np.int64)
-        np.add.at(edges, [r["lo"] for r in runs], 1)
-        np.add.at(edges, [r["hi"] + window for r in runs], -1)
+        starts = np.flatnonzero(repeats)
+        edges[starts] += 1
+        edges[starts + window] -= 1
         gone = np.cumsum(edges[:-1]) > 0
         kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
         return int(gone.sum()), hashlib.sha256(kept).hexdigest()
@@ -228,7 +282,7 @@ def _kept(texts: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             for start, end in blocks(batch, "_text"):
                 part = batch.slice(start, end - start)
-                rows = [work(d, r) for d, r in zip(part.column("_text").to_pylist(), part.column("runs").to_pylist(), strict=True)]
+                rows = [work(*row) for row in zip(*[part.column(c).to_pylist() for c in ("_text", "runs", "crowded", "owned")], strict=True)]
                 columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())]
                 yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_key"), *columns], names=["_id", "_key", "n_removed", "kept_sha256"])
 
@@ -256,37 +310,48 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
     placed = written(own.select("_id", "_key", F.explode(last).alias("a")).select("_id", "_key", "a.prefix", "a.lo", "a.hi"), f"{folder}/anchors")
     counts = placed.groupBy("prefix").agg(F.count("*").alias("n"), F.min("_id").alias("least"), F.max("_id").alias("most"), F.count("_id").alias("named"))
     several = (F.col("least") != F.col("most")) | ((F.col("named") > 0) & (F.col("named") < F.col("n")))
-    shared = written(counts.where(several).select("prefix", (F.col("n") > crowd).alias("crowded")), f"{folder}/shared")
+    way = F.when(F.col("n") > crowd, LENGTHENED).otherwise(GROUPED).alias("way")
+    shared = written(counts.where(several).select("prefix", way), f"{folder}/shared")
     # Anchors of one document come together: no more than its words.
-    wanted = placed.join(shared, "prefix").groupBy("_id", "_key").agg(F.collect_list(F.struct("prefix", "lo", "hi", "crowded")).alias("shared"))
-    wanted = written(wanted, f"{folder}/wanted")
+    marks = F.collect_set(F.struct("prefix", "lo", "hi", "way")).alias("marks")
+    wanted = written(placed.join(shared, "prefix").groupBy("_id", "_key").agg(marks), f"{folder}/wanted")
 
-    def with_texts(side: DataFrame, column: str) -> DataFrame:
+    def with_texts(side: DataFrame, *columns: str) -> DataFrame:
         """The small side is the one that is hashed; texts stream past it unsorted."""
-        small = side.select(F.col("_id").alias("_i"), F.col("_key").alias("_k"), column).hint("shuffle_hash")
-        return slim.join(small, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k"))).select("_id", "_key", "_text", column)
-
-    places = written(_places(with_texts(wanted, "shared"), window), f"{folder}/places")
-    short = _repeats(places.where("prefix is not null").select("_id", "_key", "prefix", "lo", "words"), window)
-    crowded_places = places.where("content is not null")
-    folded = crowded_places.groupBy("content").agg(
-        F.first("words").alias("words"), F.min("_id").alias("least"), F.max("_id").alias("most"), F.count("*").alias("n"), F.count("_id").alias("named")
-    )
-    folded = written(folded, f"{folder}/contents")
-    nodes = written(_whole_prefixes(folded, window), f"{folder}/nodes")
-    known = nodes.join(folded.drop("words"), "content").groupBy("node").agg(
-        F.min("least").alias("least"), F.max("most").alias("most"), F.sum("n").alias("n"), F.sum("named").alias("named")
+        small = side.select(F.col("_id").alias("_i"), F.col("_key").alias("_k"), *columns).hint("shuffle_hash")
+        return slim.join(small, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k"))).select("_id", "_key", "_text", *columns)
+
+    first = _parted(with_texts(wanted, "marks").withColumn("start", F.lit(0)), window, ALONE)
+    levels, length = [written(first, f"{folder}/places-{PREFIX}")], PREFIX * 2
+    while length < window:
+        stretches = levels[-1].where("prefix is null")
+        longer = written(_lengthened(stretches, window, length), f"{folder}/anchors-{length}")
+        held = longer.groupBy("prefix").agg(F.count("*").alias("n"), F.min("_id").alias("least"), F.max("_id").alias("most"), F.count("_id").alias("named"))
+        # Crowded prefixes take no part in the join: windows without a mark are lengthened again.
+        settled = held.where(~several | (F.col("n") <= crowd)).select("prefix", F.when(several, GROUPED).otherwise(ALONE).alias("way"))
+        found = longer.join(settled, "prefix").groupBy("_id", "_key", "start").agg(marks)
+        found = found.select(F.col("_id").alias("_i"), F.col("_key").alias("_k"), F.col("start").alias("_s"), "marks").hint("shuffle_hash")
+        same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")) & (F.col("lo") == F.col("_s"))
+        rows = stretches.join(found, same, "left").select("_id", "_key", F.col("lo").alias("start"), F.col("words").alias("_text"), "marks")
+        levels.append(written(_parted(rows, window, LENGTHENED), f"{folder}/places-{length}"))
+        length *= 2
+    places = reduce(DataFrame.union, [level.where("prefix is not null") for level in levels])
+    short = _repeats(places.select("_id", "_key", "prefix", "lo", "words"), window)
+    crowded = levels[-1].where("prefix is null")
+    nodes = written(_whole_prefixes(crowded, window), f"{folder}/nodes")
+    owners = nodes.groupBy("node").agg(F.min("_id").alias("_owner"))  # null only if all are null
+    owners = owners.withColumnRenamed("node", "_node")
+    owned = nodes.join(owners, (F.col("node") == F.col("_node")) & F.col("_id").eqNullSafe(F.col("_owner")), "left_semi")
+    span = "struct<lo:int,hi:int>"
+    found = (
+        short.select("_id", "_key", F.struct("lo", "hi").alias("runs"), F.lit(None).cast(span).alias("crowded"), F.lit(None).cast("int").alias("owned"))
+        .union(crowded.select("_id", "_key", F.lit(None).cast(span), F.struct("lo", "hi"), F.lit(None).cast("int")))
+        .union(owned.select("_id", "_key", F.lit(None).cast(span), F.lit(None).cast(span), "lo"))
     )
-    repeated = written(known.where(several).select("node", "least"), f"{folder}/repeated")
-    # A content has no more windows than its anchor.
-    listed = nodes.join(repeated, "node").groupBy("content").agg(F.collect_list(F.struct("at", "least")).alias("windows"))
-    listed = written(listed, f"{folder}/listed")
-    later = F.filter("windows", lambda w: F.col("_id").isNull() | (F.col("_id") > w["least"]))
-    starts = F.transform(later, lambda w: F.struct((F.col("lo") + w["at"]).alias("lo"), (F.col("lo") + w["at"]).alias("hi")))
-    long = crowded_places.select("_id", "_key", "lo", "content").join(listed, "content").select("_id", "_key", starts.alias("runs")).where(F.size("runs") > 0)
-    found = short.select("_id", "_key", F.array(F.struct("lo", "hi")).alias("runs")).union(long)
-    runs = written(found.groupBy("_id", "_key").agg(F.flatten(F.collect_list("runs")).alias("runs")), f"{folder}/runs")
-    cut = written(_kept(with_texts(runs, "runs"), window).distinct(), f"{folder}/cut")
+    # No longer than the document has words.
+    lists = [F.collect_list(c).alias(c) for c in ("runs", "crowded", "owned")]
+    runs = written(found.groupBy("_id", "_key").agg(*lists), f"{folder}/runs")
+    cut = written(_kept(with_texts(runs, "runs", "crowded", "owned"), window).distinct(), f"{folder}/cut")
 
     results = written(
         reps.select("sha", F.col("rep._id").alias("_i"), F.col("rep._key").alias("_k"))

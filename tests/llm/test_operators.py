@@ -152,10 +152,25 @@ def test_repeats_at_any_crowd(spark, crowd):
     assert got == brute.without_repeats(rows, 12)
 
 
-def test_repeats_with_null_and_repeated_ids(spark):
+@pytest.mark.parametrize("crowd", [0, 4])
+def test_repeats_through_all_prefix_lengths(spark, crowd):
+    rng = random.Random(crowd)
+    body = [f"b{rng.randrange(3000)}" for _ in range(260)]
+    rows = [(i, " ".join(f"e{rng.randrange(10**6)}" if rng.random() < 0.015 else w for w in body)) for i in range(30)]
+    # One prefix of 8, then of 16 words before ever other words; and one row many times.
+    rows += [(100 + i, " ".join(body[:8] + [f"o{i % 7}x{j}" for j in range(60)])) for i in range(20)]
+    rows += [(200 + i, " ".join(body[100:118] + [f"q{i % 9}x{j}" for j in range(60)] + body[30:90])) for i in range(20)]
+    want = brute.without_repeats(rows, 40)
+    rows += [rows[5]] * 40
+    got = substring.remove_repeats(spark.createDataFrame(rows, "i long, t string"), "i", "t", 40, crowd).collect()
+    assert len(got) == len(rows) and {r.i: tuple(r)[1:] for r in got} == want
+
+
+@pytest.mark.parametrize("crowd", [0, 200])
+def test_repeats_with_null_and_repeated_ids(spark, crowd):
     run = " ".join(f"r{i}" for i in range(20))
     rows = [("b", run), (None, run + " end"), (None, None), ("a", "start " + run), ("a", run.replace(" ", "  ")), ("c", run)]
-    got = substring.remove_repeats(spark.createDataFrame(rows, "i string, t string"), "i", "t", 12).collect()
+    got = substring.remove_repeats(spark.createDataFrame(rows, "i string, t string"), "i", "t", 12, crowd).collect()
     removed = sorted((r.i or "", r.n_words, r.n_removed) for r in got)
     assert removed == [("", 0, 0), ("", 21, 20), ("a", 20, 0), ("a", 21, 0), ("b", 20, 20), ("c", 20, 20)]
 
