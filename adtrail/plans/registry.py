@@ -16,7 +16,8 @@ from adtrail.operators import adlevel, ads, granular, mapping, platforms, produc
 from adtrail.operators.attribution import attribute, with_ad_id, with_channels, with_touch
 from adtrail.operators.orders import fold_lines, priced_lines
 from adtrail.plans import mapping_views, sql_functions, utm_views, warehouse
-from adtrail.sources import sinks, testbed
+from adtrail.sources import sinks, testbed, versions
+from adtrail.sources.staging import staging_path
 from adtrail.sources.tables import DateWindow, newest_active, order_window, orders_with_skus, profile, utm_orders, wide_orders
 from adtrail.streaming.hourly import hourly_metrics
 from adtrail.streaming.live import live_last_click
@@ -883,6 +884,19 @@ def latest_upsert(t):
     return sinks.merge_latest(early, late, ["date_start", "hour_start", "ad_id"]).drop("window_start")
 
 
+@query
+def incremental_last_events(t):
+    """The last event of each user and day, loaded in two runs and one backfill of a table that is read by ``ts``."""
+    events = testbed.events(t.spark, t.sf).select(
+        F.to_date("ts").alias("day"), "user_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").cast("string").alias("event_id"), "event_type"
+    )
+    path, key = staging_path(t.spark, "last-events"), ["day", "user_id"]
+    versions.load_new(events.where("ts < '2024-01-15' AND event_type <> 'error'"), path, key, "day", "ts")
+    versions.load_new(events, path, key, "day", "ts")
+    versions.backfill(events, path, key, "day", "2024-01-01", "2024-01-15", "ts")
+    return versions.read_version(t.spark, path, events.schema).drop("ts")
+
+
 @query
 def rule_seed_insert(t):
     columns = ["utm_source_pattern", "utm_medium_pattern", "utm_campaign_pattern", "channel", "priority"]
@@ -910,6 +924,19 @@ def constraint_violations(t):
     return found.unionByName(quality.violations(t.ad_level(), "ad_level", ["campaign_id", "adset_id", "ad_id", "analysis_date_start", "analysis_date_end", "batch_id"], quality.AD_LEVEL_CHECKS))
 
 
+@query
+def constraint_report(t):
+    """All rules of sessions, mapped orders, UTM hours, runs and channel rules, each table read once."""
+    tables = [
+        ("event_sessions", sessions.sessionize(t.events(), gap_minutes=240), ["user_id"], quality.SESSION_CHECKS, ["user_id"]),
+        ("utm_order_mapping", t.utm_mapping(), ["order_id"], quality.MAPPING_CHECKS, ["campaign_id", "utm_medium"]),
+        ("hourly_utm_metrics", t.hourly(), ["date_start", "hour_start", "campaign_id"], quality.HOURLY_CHECKS, ["campaign_id", "ad_id"]),
+        ("runs", t.log(), ["batch_id"], quality.RUN_CHECKS, ["execution_end_time", "error_message"]),
+        ("channel_rules", rule_seed_insert(t), ["utm_source_pattern"], quality.RULE_CHECKS, ["utm_medium_pattern"]),
+    ]
+    return reduce(DataFrame.unionByName, [quality.constraint_report(df, name, *rest) for name, df, *rest in tables])
+
+
 @query
 def duplicate_items(t):
     return quality.duplicate_keys(testbed.line_items(t.spark, t.sf), ["item_id"])

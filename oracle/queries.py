@@ -692,4 +692,31 @@ SQL["engagement_by_hour"] = f"""SELECT {day('st')} AS date_start, {big('hour(st)
     printf('%02d:00:00 - %02d:59:59', hour(st), hour(st)) AS hour_window FROM ({_SESS}) GROUP BY CAST(st AS DATE), hour(st), strftime(st, '%Y-%m-%d')"""
 SQL["hourly_window"] = f"SELECT date_start || printf(' %02d:00:00', hour_start) AS window_start, * FROM ({_HOURS.format('')})"
 
+SQL["incremental_last_events"] = f"""SELECT {day('ts')} AS day, user_id, CAST(event_id AS VARCHAR) AS event_id, event_type FROM ev
+    QUALIFY row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) = 1"""
+
+
+def _report(table: str, source: str, key: list[str], rules: dict[str, str]) -> str:
+    """Rows of a table and how many break each rule; UNIQUE counts all rows of repeated keys without a null."""
+    whole = " AND ".join(f"{k} IS NOT NULL" for k in key)
+    said = {"unique": f"(SELECT COALESCE(SUM(c), 0) FROM (SELECT COUNT(*) AS c FROM ({source}) WHERE {whole} GROUP BY {', '.join(key)} HAVING COUNT(*) > 1))"}
+    said |= {name: f"(SELECT COUNT(*) FROM ({source}) WHERE {broken})" for name, broken in rules.items()}
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{name}' AS constraint, CAST((SELECT COUNT(*) FROM ({source})) AS BIGINT) AS rows, CAST({n} AS BIGINT) AS broken" for name, n in said.items()
+    )
+
+
+SQL["constraint_report"] = " UNION ALL ".join([
+    _report("event_sessions", _SESS, ["user_id"], {"times_ordered": "st > en", "conversion_value_not_negative": "val < 0", "user_id_present": "user_id IS NULL"}),
+    _report("utm_order_mapping", "SELECT * FROM umap", ["order_id"], {
+        "order_value_positive": "order_value <= 0", "weight_in_range": "FALSE", "campaign_id_present": "campaign_id IS NULL", "utm_medium_present": "d_medium IS NULL"}),
+    _report("hourly_utm_metrics", "SELECT * FROM hrly", ["date_start", "hour_start", "campaign_id"], {
+        "hour_in_range": "hour_start NOT BETWEEN 0 AND 23", "metrics_not_negative": "total_sessions < 0 OR total_revenue < 0",
+        "campaign_id_present": "campaign_id IS NULL", "ad_id_present": "ad_id IS NULL"}),
+    _report("runs", "SELECT * FROM rlog", ["batch_id"], {
+        "status_known": "execution_status NOT IN ('RUNNING', 'SUCCESS', 'FAILED', 'CANCELLED')", "date_range_ordered": "FALSE",
+        "execution_end_time_present": "execution_end_time IS NULL", "error_message_present": "error_message IS NULL"}),
+    _report("channel_rules", SQL["rule_seed_insert"], ["utm_source_pattern"], {"priority_positive": "priority <= 0", "utm_medium_pattern_present": "utm_medium_pattern IS NULL"}),
+])
+
 ORACLE = {name: build(sql) for name, sql in SQL.items()}

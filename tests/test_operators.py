@@ -232,3 +232,26 @@ def test_windows_resolve():
     assert tables.resolve_window("2024-01-01", "2024-01-05").end == date(2024, 1, 5)
     w = tables.resolve_window(days=7, as_of=date(2024, 1, 10))
     assert (w.start, w.end) == (date(2024, 1, 3), date(2024, 1, 10))
+
+
+def test_constraint_report_finds_each_broken_rule(spark):
+    from adtrail.operators import quality
+
+    report = lambda df, key, checks, required=(): {
+        r.constraint: (r.rows, r.broken) for r in quality.constraint_report(df, "t", key, checks, list(required)).collect()
+    }
+    runs = spark.createDataFrame(
+        [("a", "DONE", "2024-01-02", "2024-01-01"), ("a", "FAILED", "2024-01-01", None), (None, None, "2024-01-01", "2024-01-01"), (None, "RUNNING", None, None)],
+        "id string, execution_status string, analysis_date_start string, analysis_date_end string",
+    )
+    assert report(runs, ["id"], quality.RUN_CHECKS, ["execution_status"]) == {
+        "unique": (4, 2), "status_known": (4, 1), "date_range_ordered": (4, 1), "execution_status_present": (4, 1)}
+    sessions = spark.createDataFrame([(1, 5, 4, -1.0), (2, 4, 5, None)], "id int, session_start_time int, session_end_time int, conversion_value double")
+    assert report(sessions, ["id"], quality.SESSION_CHECKS) == {"unique": (2, 0), "times_ordered": (2, 1), "conversion_value_not_negative": (2, 1)}
+    mapping = spark.createDataFrame([(1, 0.0, 1.5), (2, 3.0, -0.1), (3, 1.0, 1.0)], "id int, order_value double, attribution_weight double")
+    assert report(mapping, ["id"], quality.MAPPING_CHECKS) == {"unique": (3, 0), "order_value_positive": (3, 1), "weight_in_range": (3, 2)}
+    hours = spark.createDataFrame([(1, 24, 1, -5.0), (1, 0, 1, 1.0)], "id int, hour_start int, total_sessions int, total_revenue double")
+    assert report(hours, ["id"], quality.HOURLY_CHECKS) == {"unique": (2, 2), "hour_in_range": (2, 1), "metrics_not_negative": (2, 1)}
+    rules = spark.createDataFrame([("x", 0), ("y", None)], "id string, priority int")
+    assert report(rules, ["id"], quality.RULE_CHECKS) == {"unique": (2, 0), "priority_positive": (2, 1)}
+    assert report(rules.limit(0), ["id"], quality.RULE_CHECKS) == {"unique": (0, 0), "priority_positive": (0, 0)}

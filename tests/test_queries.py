@@ -17,7 +17,7 @@ CHECKED = [
     "order_ad_mapping", "daily_ad_performance", "utm_hourly_metrics", "utm_ads_full_outer", "coverage_comparison",
     "hierarchy_rollup", "product_match_by_substring", "touch_linear", "touch_decay", "meta_ad_performance",
     "quality_score", "run_alerts", "latest_upsert", "audit_sample", "event_sessions", "live_orders", "sql_channel_rules",
-    "utm_period_by_model",
+    "utm_period_by_model", "constraint_report", "incremental_last_events",
 ]
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF"]
 
