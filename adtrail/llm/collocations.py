@@ -33,7 +33,7 @@ from adtrail.llm.words import blocks, hashed, mixed
 
 LEAST = 100
 LONGEST = 5
-SHARDS = 2
+SHARDS = 4
 SLOT_BITS = 21
 NEVER = 255
 
