@@ -50,6 +50,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt over all tasks by ``keys``, for work that costs far more than the read, such as building and parsing JSON.
+
+    A file is read by as many tasks as it has row groups, which for narrow tables are few and large. Several keys, so
+    that nulls or repeats in one of them gather no rows; the number of tasks is left to adaptive execution.
+    """
+    return rows.repartition(*keys)
+
+
 def ad_id(k) -> Column:
     return F.concat(F.lit("1202213430908"), (k + 60000).cast("string"))
 
@@ -63,10 +72,13 @@ def campaign_id(k) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with their ad keys; value as money."""
+    """Events with their ad keys; value as money.
+
+    ``k`` comes out of a one-row generator, so that filters on the ad keys read it and don't parse ``props`` again each.
+    """
     k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", F.col("value").cast("decimal(15,2)").alias("value"), k.alias("k")
+    return spread(table(spark, sf_dir, "events"), "event_id", "ts", "props").select(
+        "event_id", "ts", "user_id", "event_type", F.col("value").cast("decimal(15,2)").alias("value"), F.inline(F.array(F.struct(k.alias("k"))))
     )
 
 
@@ -133,7 +145,7 @@ EARLIER = {"source": "'google'", "medium": "'organic'", "content": _ad("(_k + 1)
 
 
 def orders(spark: SparkSession, sf_dir: str, geography: bool = False, referrers: bool = False) -> DataFrame:
-    base = table(spark, sf_dir, "orders").selectExpr(
+    base = spread(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey", "o_orderdate").selectExpr(
         "*",
         "cast(floor(o_orderkey / 7) % 120 as int) as _k",
         "o_orderkey % 7 as _path",
@@ -196,7 +208,7 @@ def orders(spark: SparkSession, sf_dir: str, geography: bool = False, referrers:
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     money = lambda sql: f"cast(round(cast({sql} as decimal(38,10)), 2) as decimal(10,2))"
     price = "l_extendedprice / l_quantity"
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_extendedprice").selectExpr(
         "concat_ws('-', l_orderkey, l_linenumber, l_partkey, cast(l_quantity as int)) as item_id",
         "concat('gid://shop/Order/', l_orderkey) as order_id",
         "concat('var_', l_partkey) as variant_id",

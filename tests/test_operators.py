@@ -255,3 +255,22 @@ def test_constraint_report_finds_each_broken_rule(spark):
     rules = spark.createDataFrame([("x", 0), ("y", None)], "id string, priority int")
     assert report(rules, ["id"], quality.RULE_CHECKS) == {"unique": (2, 0), "priority_positive": (2, 1)}
     assert report(rules.limit(0), ["id"], quality.RULE_CHECKS) == {"unique": (0, 0), "priority_positive": (0, 0)}
+
+
+def test_costly_work_is_spread_over_tasks_whatever_the_files(spark, tmp_path):
+    from adtrail.operators.ads import daily_ads
+    from adtrail.sources import testbed
+
+    tables = {
+        "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string",
+        "events": "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
+        "lineitem": "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double",
+    }
+    for name, columns in tables.items():
+        spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    for read in (testbed.orders, testbed.events, testbed.line_items):
+        top, bottom = plan(read(spark, str(tmp_path))).split("RepartitionByExpression")
+        assert "concat" not in bottom and "get_json_object" not in bottom
+    # Filters on the ad keys read the parsed key; they neither parse it again nor go below the spread rows.
+    assert plan(daily_ads(testbed.ads_hourly(spark, str(tmp_path)))).count("get_json_object") == 1
