@@ -46,45 +46,59 @@ def words_of(data: bytes) -> list[bytes]:
     return (data.translate(TABLE) + b".").replace(b".", b" . ").split()
 
 
+def _coded_block(part: pa.RecordBatch, seed: int):
+    """A block's words in a row with their numbers, codes, whether they are full stops and their languages; the languages' names; words a text."""
+    texts = [words_of(data or b"") for data in part.column("_text").to_pylist()]
+    langs = part.column("_lang").to_pylist()
+    known = sorted(set(langs))
+    sizes = [len(t) for t in texts]
+    flat = np.empty(sum(sizes), object)
+    flat[:] = [w for t in texts for w in t]
+    number, words = pd.factorize(flat)
+    stop = np.fromiter((w == b"." for w in words), bool, len(words))[number]
+    lang = np.repeat([known.index(x) for x in langs], sizes)
+    salt = hashed([f"{seed}:{x}".encode() for x in known])
+    codes = np.maximum(mixed(hashed(list(words))[number] ^ salt[lang]), np.uint64(1))
+    codes[stop] = 0
+    return flat, number, codes, stop, lang, known, sizes
+
+
 def _coded(docs: DataFrame, seed: int, shards: int) -> DataFrame:
-    """Rows of texts (shard, lang, n_words, body) and, per block, of their distinct words (shard, lang, code, word)."""
+    """Texts as rows (shard, lang, n_words, body): a body is the codes of a text's words."""
 
     def run(batches):
         shard = TaskContext.get().partitionId() % shards
-        schema = pa.schema([("shard", pa.int32()), ("lang", pa.string()), ("n_words", pa.int64()), ("body", pa.binary()), ("code", pa.binary()), ("word", pa.binary())])
         for batch in batches:
             for start, end in blocks(batch, "_text"):
                 part = batch.slice(start, end - start)
-                texts = [words_of(data or b"") for data in part.column("_text").to_pylist()]
-                langs = part.column("_lang").to_pylist()
-                known = sorted(set(langs))
-                sizes = [len(t) for t in texts]
-                flat = np.empty(sum(sizes), object)
-                flat[:] = [w for t in texts for w in t]
-                number, words = pd.factorize(flat)
-                stop = np.fromiter((w == b"." for w in words), bool, len(words))[number]
-                lang = np.repeat([known.index(x) for x in langs], sizes)
-                salt = hashed([f"{seed}:{x}".encode() for x in known])
-                codes = np.maximum(mixed(hashed(list(words))[number] ^ salt[lang]), np.uint64(1))
-                codes[stop] = 0
+                flat, number, codes, stop, lang, known, sizes = _coded_block(part, seed)
                 data, ends = codes.astype("<u8").tobytes(), np.cumsum(sizes)
                 bodies = [data[8 * (e - n) : 8 * e] for e, n in zip(ends.tolist(), sizes)]
                 counts = np.add.reduceat(~stop, ends - sizes)
-                none = lambda n, f: pa.nulls(n, schema.field(f).type)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(texts), shard), pa.int32()), pa.array(langs, pa.string()), pa.array(counts, pa.int64()), pa.array(bodies, pa.binary()), none(len(texts), "code"), none(len(texts), "word")], schema=schema
+                    [pa.array(np.full(len(sizes), shard), pa.int32()), part.column("_lang"), pa.array(counts, pa.int64()), pa.array(bodies, pa.binary())],
+                    names=["shard", "lang", "n_words", "body"],
                 )
-                first = _first(pd.factorize((number * len(known) + lang)[~stop])[0])
-                where = np.flatnonzero(~stop)[first]
+
+    return docs.mapInArrow(run, "shard int, lang string, n_words bigint, body binary")
+
+
+def _named(docs: DataFrame, seed: int, wanted: np.ndarray) -> DataFrame:
+    """(gram, lang, word) of the distinct words whose codes fall into the wanted slots."""
+    bits = len(wanted).bit_length() - 1
+
+    def run(batches):
+        for batch in batches:
+            for start, end in blocks(batch, "_text"):
+                flat, number, codes, stop, lang, known, sizes = _coded_block(batch.slice(start, end - start), seed)
+                at = np.flatnonzero(~stop & wanted[slots(codes, bits)])
+                at = at[_first(pd.factorize(number[at] * len(known) + lang[at])[0])]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(where), shard), pa.int32()), pa.array([known[i] for i in lang[where].tolist()], pa.string()), none(len(where), "n_words"),
-                        none(len(where), "body"), _binary(codes[where].reshape(-1, 1)), pa.array(flat[where].tolist(), pa.binary()),
-                    ],
-                    schema=schema,
+                    [_binary(codes[at].reshape(-1, 1)), pa.array([known[i] for i in lang[at].tolist()], pa.string()), pa.array(flat[at].tolist(), pa.binary())],
+                    names=["gram", "lang", "word"],
                 )
 
-    return docs.mapInArrow(run, "shard int, lang string, n_words bigint, body binary, code binary, word binary")
+    return docs.mapInArrow(run, "gram binary, lang string, word binary").distinct()
 
 
 def _first(numbers: np.ndarray) -> np.ndarray:
@@ -171,6 +185,17 @@ def _slots_of(grams: DataFrame, bits: int) -> np.ndarray:
     return grams.select("gram").mapInArrow(run, "slot int").distinct().toArrow().column("slot").to_numpy()
 
 
+def _settled(df: DataFrame, path: str) -> DataFrame:
+    """``written``, and the shuffle files behind it go at once instead of at some later collection of the driver's garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return written(df, path)
+    finally:
+        conf.set(key, before)
+
+
 def frequent_phrases(coded: DataFrame, folder: str, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, bits: int = SLOT_BITS) -> DataFrame:
     """(gram, f) of every phrase of one to ``longest`` words that occurs ``least`` times."""
     spark = coded.sparkSession
@@ -181,18 +206,19 @@ def frequent_phrases(coded: DataFrame, folder: str, least: int = LEAST, longest:
     while step <= max(shards - 1, last + shards):
         if step >= NEVER:
             raise ValueError("too many steps for the byte tables: choose fewer shards")
-        bodies = coded.where((F.col("shard") == step % shards) & F.col("body").isNotNull()).select("body")
+        bodies = coded.where(F.col("shard") == step % shards).select("body")
         scan = _scanned(bodies, step, shards, longest, early, late)
         bit = 1 << (step % shards)
         merged = scan.select("gram", "n", F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("seen"), "until", F.lit(False).alias("reached")).unionByName(
             state.withColumn("n", F.lit(0).cast("long"))
-        ).groupBy("gram").agg(F.sum("n").alias("n"), F.max("total").alias("total"), F.max("seen").alias("seen"), F.min("until").alias("until"), F.max("reached").alias("reached"))
+        ).groupBy("gram").agg(F.sum("n").alias("n"), F.max("total").alias("total"), F.max("seen").alias("seen"), F.max("until").alias("until"), F.max("reached").alias("reached"))
+        # The greatest step: a phrase let through early by its slots must stay for the whole cycle that its own parts begin.
         fresh = (F.col("n") > 0) & (F.col("seen").bitwiseAND(F.lit(bit)) == 0)
         total = F.col("total") + F.when(fresh, F.col("n")).otherwise(0)
         seen = F.when(fresh, F.col("seen").bitwiseOR(F.lit(bit))).otherwise(F.col("seen"))
         counted = merged.select("gram", total.alias("total"), seen.alias("seen"), "until", F.col("reached").alias("before"), (total >= least).alias("reached"))
         # A phrase whose cycle is complete leaves the state, and is kept only if it is frequent.
-        now = written(counted.where((F.col("until") > step) | F.col("reached")), f"{folder}/state-{step}")
+        now = _settled(counted.where((F.col("until") > step) | F.col("reached")), f"{folder}/state-{step}")
         new = now.where(F.col("reached") & ~F.col("before") & (F.octet_length("gram") < 8 * longest)).join(done, "gram", "left_anti")
         found = _slots_of(new, bits)
         if len(found):
@@ -200,14 +226,14 @@ def frequent_phrases(coded: DataFrame, folder: str, least: int = LEAST, longest:
             early[found] = np.minimum(early[found], step)
             last = step
         complete = now.where(F.col("until") <= step).select("gram", F.col("total").alias("f"))
-        done = done.unionByName(written(complete, f"{folder}/done-{step}"))
+        done = done.unionByName(_settled(complete, f"{folder}/done-{step}"))
         if step:
             removed(spark, f"{folder}/state-{step - 1}")
         state = now.where(F.col("until") > step).drop("before")
         step += 1
     # Whatever is still in the state has been through all shards too; a phrase counted again has no more than before.
     rest = state.where("reached").select("gram", F.col("total").alias("f"))
-    return written(done.unionByName(rest).groupBy("gram").agg(F.max("f").alias("f")), f"{folder}/frequent")
+    return _settled(done.unionByName(rest).groupBy("gram").agg(F.max("f").alias("f")), f"{folder}/frequent")
 
 
 def scored(frequent: DataFrame, totals: DataFrame) -> DataFrame:
@@ -249,19 +275,22 @@ def mine_phrases(
     spark = docs.sparkSession
     folder = fresh_folder(spark, "collocations")
     slim = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("_lang"), F.col(text).cast("string").cast("binary").alias("_text"))
-    coded = written(_coded(slim, seed, shards), f"{folder}/coded")
+    coded = _settled(_coded(slim, seed, shards), f"{folder}/coded")
     frequent = frequent_phrases(coded, folder, least, longest, shards, bits)
     single = frequent.where(F.octet_length("gram") == 8)
-    named = coded.where("code is not null").select(F.col("code").alias("gram"), "lang", "word").join(single.select("gram"), "gram", "left_semi")
+    # Words are spelled by reading the texts again: a table of all words of all blocks would be far larger than that of the frequent ones.
+    wanted = np.zeros(1 << bits, bool)
+    wanted[_slots_of(single, bits)] = True
+    named = _named(slim, seed, wanted).join(single.select("gram"), "gram", "left_semi")
     spelled = named.groupBy("gram").agg(F.min(F.struct("lang", "word")).alias("w"), F.max(F.struct("lang", "word")).alias("other"))
-    spelled = written(spelled, f"{folder}/words")
+    spelled = _settled(spelled, f"{folder}/words")
     if not spelled.where("w <> other").isEmpty():
         return mine_phrases(docs, text, lang, least, longest, top, percent, shards, bits, seed + 1)
     words = spelled.select("gram", "w.lang", "w.word")
-    totals = coded.where("body is not null").groupBy("lang").agg(F.sum("n_words").alias("n"))
+    totals = coded.groupBy("lang").agg(F.sum("n_words").alias("n"))
     tongue = words.select(F.col("gram").alias("_first"), "lang")
     known = frequent.withColumn("_first", F.expr("substring(gram, 1, 8)")).join(tongue, "_first").drop("_first")
-    best = written(not_contained(scored(known, totals), percent), f"{folder}/best")
+    best = _settled(not_contained(scored(known, totals), percent), f"{folder}/best")
     if top is not None:  # ties at the end are told apart by their words, so all that tie stay until they are spelled
         order = [F.col("score").desc(), F.col("a").desc()]
         salt = F.pmod(F.xxhash64("gram"), F.lit(64))

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow.fs as pafs
@@ -464,6 +465,28 @@ def test_phrases_whatever_the_slots_and_shards(spark, bits, shards, parts):
     assert sorted(map(tuple, every.collect())) == brute.phrases(rows, 12, longest=3, top=None, percent=90)
 
 
+def test_phrases_let_through_early_are_counted_over_a_whole_cycle(spark, tmp_path):
+    # With 16 slots a phrase may be let through before its parts are reached, and its parts be reached before its first cycle ends.
+    rng = random.Random(39)
+    bits = rng.choice([3, 4, 5, 6])
+    code = lambda: int(collocations.mixed(np.array([rng.randrange(1, 2**63)], np.uint64))[0])
+    words = [code() for _ in range(rng.choice([8, 15, 25]))]
+    phrases = [[rng.choice(words) for _ in range(rng.randrange(2, 7))] for _ in range(rng.randrange(2, 9))]
+    rows, want = [], Counter()
+    for shard in range(4):
+        codes, weights = [], [rng.random() ** 4 for _ in phrases]
+        for _ in range(rng.randrange(5, 50)):
+            codes += (rng.choices(phrases, weights)[0] if rng.random() < 0.6 else [rng.choice(words) for _ in range(rng.randrange(1, 4))]) + [0]
+        rows.append((shard, "x", len(codes), bytearray(np.array(codes, "<u8").tobytes())))
+        for k in range(1, 6):
+            for i in range(len(codes) - k + 1):
+                if 0 not in codes[i : i + k]:
+                    want[np.array(codes[i : i + k], "<u8").tobytes()] += 1
+    coded = spark.createDataFrame(rows, "shard int, lang string, n_words long, body binary")
+    found = collocations.frequent_phrases(coded, str(tmp_path), least=10, longest=5, shards=4, bits=bits)
+    assert {bytes(r.gram): r.f for r in found.collect()} == {g: n for g, n in want.items() if n >= 10}
+
+
 def test_scores_do_not_overflow(spark):
     big = 2_000_000_000_000
     grams = [(b"a" * 8, big, "x"), (b"b" * 8, big + 1, "x"), (b"a" * 8 + b"b" * 8, big - 7, "x")]
