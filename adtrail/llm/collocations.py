@@ -2,18 +2,24 @@
 
 The corpus is coded once into words and dealt over SHARDS shards by task. Step t scans shard t mod SHARDS. Words are counted
 from step 0 on; a longer phrase becomes active once the phrases without its last and without its first word have both
-been seen ``least`` times, in whatever shards were scanned so far, and is counted until it has completed one full cycle.
-So lengths are counted side by side, and the corpus is read as often as late phrases need, not once for each length.
+been seen ``least`` times, in whatever shards were scanned so far, and stays so for one full cycle. So lengths are counted
+side by side, and the corpus is read as often as late phrases need, not once for each length.
 
-What is reached by which step is known to the scanning tasks through two byte tables of a fixed size, by hash slot: the
-least and the greatest step of the phrases of a slot. They can only let too many phrases pass, never too few; what passes
-is counted truly, each shard once, and a phrase that ought not to be active can't reach ``least``, as its parts have not.
+A phrase that occurs ``least`` times must occur least / shards times in one of the shards. So an active phrase is taken
+into the state only by a shard that holds it that often, and is then counted for a full cycle from there on; shards that
+were scanned before it was taken in come again in that cycle. All other active phrases are forgotten after each scan.
+
+What is reached by which step is known to the scanning tasks through byte tables of a fixed size, by hash slot: the least
+and the greatest step of the phrases of a slot, and until when phrases of a slot are counted. They can only let too many
+phrases pass, never too few; what is in the state is counted truly, each shard once, and a phrase that ought not to be
+active can't reach ``least``, as its parts have not.
 
 A word is its 64-bit code, made of the word and its language, so languages never mix; the code table is checked for two
 words of one code among those that count, and coded anew with another seed if there are any.
 
-State (phrases that have not completed their cycle) is merged with a scan's counts by phrase in one shuffle, written, and
-read back; counts are pre-aggregated in each task. Memory of a task does not depend on how frequent a phrase is.
+State (phrases that have not completed their cycle, and frequent ones that have) is merged with a scan's counts by phrase
+in one shuffle, written, and read back; counts are pre-aggregated in each task. Memory of a task does not depend on how
+frequent a phrase is.
 
 Defined cases: a null text is empty; a null language is ``und``; repeated rows count again; an empty table gives no rows.
 Only the text and language columns are read.
@@ -36,6 +42,8 @@ LONGEST = 5
 SHARDS = 4
 SLOT_BITS = 21
 NEVER = 255
+#: Texts that a task takes from Spark at once.
+BATCH_ROWS = 1000
 
 #: Separators become full stops, tabs spaces, and A-Z lower case.
 TABLE = bytes(0x2E if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -124,37 +132,38 @@ def slots(hashes: np.ndarray, bits: int = SLOT_BITS) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def active(codes: np.ndarray, step: int, shards: int, longest: int, early: np.ndarray, late: np.ndarray):
-    """(length, places, hashes, last step of the cycle) of the phrases to be counted at ``step``; code 0 parts pieces."""
+def active(codes: np.ndarray, step: int, shards: int, longest: int, early: np.ndarray, late: np.ndarray, counted: np.ndarray):
+    """(length, places, hashes, whether active) of the phrases active at ``step`` or still counted; code 0 parts pieces."""
     bits = len(early).bit_length() - 1
     at, hashes = np.flatnonzero(codes), codes[codes != 0]
     if step < shards:
-        yield 1, at, hashes, np.full(len(at), shards - 1, np.int32)
+        yield 1, at, hashes, np.ones(len(at), bool)
+    slot = slots(hashes, bits)
     for length in range(2, longest + 1):
-        slot = slots(hashes, bits)
         reached = early[slot] < step
-        from_early = np.full(len(codes) + 1, NEVER, np.uint8)
+        from_early = np.zeros(len(codes) + 1, bool)
         from_late = np.zeros(len(codes) + 1, np.uint8)
-        from_early[at[reached]], from_late[at[reached]] = early[slot[reached]], late[slot[reached]]
-        both = reached & (from_early[at + 1] != NEVER)
+        from_early[at[reached]], from_late[at[reached]] = True, late[slot[reached]]
+        both = reached & from_early[at + 1]
         at, hashes = at[both], hashes[both]
         if not len(at):
             return
         hashes = lengthened(hashes, codes[at + length - 1])
-        until = np.maximum(from_late[at], from_late[at + 1]).astype(np.int32) + shards
-        open_ = until >= step
-        if open_.any():
-            yield length, at[open_], hashes[open_], until[open_]
+        slot = slots(hashes, bits)
+        fits = np.maximum(from_late[at], from_late[at + 1]).astype(np.int32) + shards >= step
+        taken = fits | (counted[slot] >= step)
+        if taken.any():
+            yield length, at[taken], hashes[taken], fits[taken]
 
 
-def _scanned(bodies: DataFrame, step: int, shards: int, longest: int, early: np.ndarray, late: np.ndarray) -> DataFrame:
-    """(gram, n, until): phrases counted in one scan, folded over blocks of texts."""
+def _scanned(bodies: DataFrame, step: int, shards: int, longest: int, early: np.ndarray, late: np.ndarray, counted: np.ndarray) -> DataFrame:
+    """(gram, n, fits): phrases counted in one scan, folded over blocks of texts, and whether they are active."""
 
     def run(batches):
         for batch in batches:
             for start, end in blocks(batch, "body"):
                 codes = np.frombuffer(b"".join(batch.column("body").slice(start, end - start).to_pylist()), "<u8")
-                for length, at, hashes, until in active(codes, step, shards, longest, early, late):
+                for length, at, hashes, fits in active(codes, step, shards, longest, early, late, counted):
                     rows = codes[at[:, None] + np.arange(length)]
                     number = pd.factorize(hashes)[0]
                     first = _first(number)
@@ -162,78 +171,88 @@ def _scanned(bodies: DataFrame, step: int, shards: int, longest: int, early: np.
                         _, first, number = np.unique(rows, axis=0, return_index=True, return_inverse=True)
                         number = number.ravel()
                     yield pa.RecordBatch.from_arrays(
-                        [_binary(rows[first]), pa.array(np.bincount(number, minlength=len(first)).astype(np.int64)), pa.array(until[first], pa.int32())], names=["gram", "n", "until"]
+                        [_binary(rows[first]), pa.array(np.bincount(number, minlength=len(first)).astype(np.int64)), pa.array(fits[first])], names=["gram", "n", "fits"]
                     )
 
-    return bodies.mapInArrow(run, "gram binary, n bigint, until int")
+    return bodies.mapInArrow(run, "gram binary, n bigint, fits boolean")
 
 
-def _slots_of(grams: DataFrame, bits: int) -> np.ndarray:
-    """The distinct slots of phrases; there are no more than 2 ** bits."""
+def _slots_of(grams: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of phrases (gram, fresh, until) the distinct slots, whether a fresh one is there, and the greatest ``until``; no more than 2 ** bits."""
 
     def run(batches):
         for batch in batches:
-            out = set()
-            for gram in batch.column("gram").to_pylist():
-                codes = np.frombuffer(gram, "<u8")
-                h = codes[:1]
-                for i in range(1, len(codes)):
-                    h = lengthened(h, codes[i : i + 1])
-                out.add(int(slots(h, bits)[0]))
-            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32())], names=["slot"])
-
-    return grams.select("gram").mapInArrow(run, "slot int").distinct().toArrow().column("slot").to_numpy()
+            gram = batch.column("gram")
+            words = pa.compute.binary_length(gram).to_numpy(zero_copy_only=False) // 8
+            slot = np.zeros(len(words), np.int32)
+            for k in np.unique(words).tolist():
+                codes = np.frombuffer(b"".join(gram.filter(pa.array(words == k)).to_pylist()), "<u8").reshape(-1, k)
+                h = codes[:, 0]
+                for i in range(1, k):
+                    h = lengthened(h, codes[:, i])
+                slot[words == k] = slots(h, bits)
+            yield pa.RecordBatch.from_arrays([pa.array(slot), batch.column("fresh"), batch.column("until")], names=["slot", "fresh", "until"])
+
+    by_slot = grams.select("gram", "fresh", "until").mapInArrow(run, "slot int, fresh boolean, until int").groupBy("slot").agg(F.max("fresh").alias("fresh"), F.max("until").alias("until"))
+    found = by_slot.toArrow()
+    return tuple(found.column(c).to_numpy() for c in ("slot", "fresh", "until"))
 
 
 def _settled(df: DataFrame, path: str) -> DataFrame:
-    """``written``, and the shuffle files behind it go at once instead of at some later collection of the driver's garbage."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key)
-    conf.set(key, "true")
+    """``written`` in small batches and closely packed; the shuffle files behind it go at once instead of at some later collection of the driver's garbage."""
+    conf = df.sparkSession.conf
+    meant = {
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+        "spark.sql.parquet.compression.codec": "zstd",
+    }
+    before = {key: conf.get(key) for key in meant}
     try:
+        for key, value in meant.items():
+            conf.set(key, value)
         return written(df, path)
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def frequent_phrases(coded: DataFrame, folder: str, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, bits: int = SLOT_BITS) -> DataFrame:
     """(gram, f) of every phrase of one to ``longest`` words that occurs ``least`` times."""
     spark = coded.sparkSession
-    early, late = np.full(1 << bits, NEVER, np.uint8), np.zeros(1 << bits, np.uint8)
-    state_of = "gram binary, total bigint, seen bigint, until int, reached boolean"
-    state, done = spark.createDataFrame([], state_of), spark.createDataFrame([], "gram binary, f bigint")
-    step, last = 0, -1
-    while step <= max(shards - 1, last + shards):
-        if step >= NEVER:
+    early, late, counted = np.full(1 << bits, NEVER, np.uint8), np.zeros(1 << bits, np.uint8), np.zeros(1 << bits, np.uint8)
+    state = spark.createDataFrame([], "gram binary, total bigint, until int")
+    single, share = F.octet_length("gram") == 8, -(-least // shards)
+    step, last = 0, shards - 1
+    while step <= last:
+        if step + shards >= NEVER:
             raise ValueError("too many steps for the byte tables: choose fewer shards")
         bodies = coded.where(F.col("shard") == step % shards).select("body")
-        scan = _scanned(bodies, step, shards, longest, early, late)
-        bit = 1 << (step % shards)
-        merged = scan.select("gram", "n", F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("seen"), "until", F.lit(False).alias("reached")).unionByName(
-            state.withColumn("n", F.lit(0).cast("long"))
-        ).groupBy("gram").agg(F.sum("n").alias("n"), F.max("total").alias("total"), F.max("seen").alias("seen"), F.max("until").alias("until"), F.max("reached").alias("reached"))
-        # The greatest step: a phrase let through early by its slots must stay for the whole cycle that its own parts begin.
-        fresh = (F.col("n") > 0) & (F.col("seen").bitwiseAND(F.lit(bit)) == 0)
-        total = F.col("total") + F.when(fresh, F.col("n")).otherwise(0)
-        seen = F.when(fresh, F.col("seen").bitwiseOR(F.lit(bit))).otherwise(F.col("seen"))
-        counted = merged.select("gram", total.alias("total"), seen.alias("seen"), "until", F.col("reached").alias("before"), (total >= least).alias("reached"))
-        # A phrase whose cycle is complete leaves the state, and is kept only if it is frequent.
-        now = _settled(counted.where((F.col("until") > step) | F.col("reached")), f"{folder}/state-{step}")
-        new = now.where(F.col("reached") & ~F.col("before") & (F.octet_length("gram") < 8 * longest)).join(done, "gram", "left_anti")
-        found = _slots_of(new, bits)
+        scan = _scanned(bodies, step, shards, longest, early, late, counted)
+        merged = scan.unionByName(state.select("gram", "total", "until"), allowMissingColumns=True).groupBy("gram").agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.max("fits").alias("fits"), F.max("total").alias("before"), F.max("until").alias("until")
+        )
+        held = F.col("until").isNotNull()
+        # Words are all taken in, so their cycle is the first one, whichever shard has them first.
+        merged = merged.where(held | single | (F.col("fits") & (F.col("n") >= share)))
+        ends = F.when(held, F.col("until")).when(single, F.lit(shards - 1)).otherwise(F.lit(step + shards - 1))
+        before = F.coalesce("before", F.lit(0))
+        total = before + F.when(ends >= step, F.col("n")).otherwise(0)
+        counts = merged.select("gram", total.alias("total"), ends.cast("int").alias("until"), ((total >= least) & (before < least)).alias("fresh"))
+        # A phrase whose cycle is complete stays only if it is frequent.
+        now = _settled(counts.where((F.col("until") > step) | (F.col("total") >= least)), f"{folder}/state-{step}")
+        if step:
+            removed(spark, f"{folder}/state-{step - 1}")
+        fresh = F.col("fresh") & (F.octet_length("gram") < 8 * longest)
+        slot, fresh, until = _slots_of(now.withColumn("fresh", fresh).where(F.col("fresh") | (~single & (F.col("until") > step))), bits)
+        counted[slot] = np.maximum(counted[slot], until)
+        found = slot[fresh]
         if len(found):
             late[found] = step
             early[found] = np.minimum(early[found], step)
-            last = step
-        complete = now.where(F.col("until") <= step).select("gram", F.col("total").alias("f"))
-        done = done.unionByName(_settled(complete, f"{folder}/done-{step}"))
-        if step:
-            removed(spark, f"{folder}/state-{step - 1}")
-        state = now.where(F.col("until") > step).drop("before")
+            last = max(last, step + shards)
+        last = max(last, int(until.max(initial=0)))
+        state = now
         step += 1
-    # Whatever is still in the state has been through all shards too; a phrase counted again has no more than before.
-    rest = state.where("reached").select("gram", F.col("total").alias("f"))
-    return _settled(done.unionByName(rest).groupBy("gram").agg(F.max("f").alias("f")), f"{folder}/frequent")
+    return _settled(state.where(F.col("total") >= least).select("gram", F.col("total").alias("f")), f"{folder}/frequent")
 
 
 def scored(frequent: DataFrame, totals: DataFrame) -> DataFrame:
@@ -280,7 +299,7 @@ def mine_phrases(
     single = frequent.where(F.octet_length("gram") == 8)
     # Words are spelled by reading the texts again: a table of all words of all blocks would be far larger than that of the frequent ones.
     wanted = np.zeros(1 << bits, bool)
-    wanted[_slots_of(single, bits)] = True
+    wanted[_slots_of(single.select("gram", F.lit(True).alias("fresh"), F.lit(0).alias("until")), bits)[0]] = True
     named = _named(slim, seed, wanted).join(single.select("gram"), "gram", "left_semi")
     spelled = named.groupBy("gram").agg(F.min(F.struct("lang", "word")).alias("w"), F.max(F.struct("lang", "word")).alias("other"))
     spelled = _settled(spelled, f"{folder}/words")
