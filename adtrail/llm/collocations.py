@@ -44,6 +44,8 @@ SLOT_BITS = 21
 NEVER = 255
 #: Texts that a task takes from Spark at once.
 BATCH_ROWS = 1000
+#: Coded texts in a file: a file is read by one task, which holds the distinct phrases of all its texts.
+FILE_ROWS = 1000
 
 #: Separators become full stops, tabs spaces, and A-Z lower case.
 TABLE = bytes(0x2E if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -198,12 +200,12 @@ def _slots_of(grams: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tuple(found.column(c).to_numpy() for c in ("slot", "fresh", "until"))
 
 
-def _settled(df: DataFrame, path: str) -> DataFrame:
+def _settled(df: DataFrame, path: str, file_rows: int = 0) -> DataFrame:
     """``written`` in small batches and closely packed; the shuffle files behind it go at once instead of at some later collection of the driver's garbage."""
     conf = df.sparkSession.conf
     meant = {
         "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
-        "spark.sql.parquet.compression.codec": "zstd",
+        "spark.sql.parquet.compression.codec": "zstd", "spark.sql.files.maxRecordsPerFile": str(file_rows),
     }
     before = {key: conf.get(key) for key in meant}
     try:
@@ -294,7 +296,7 @@ def mine_phrases(
     spark = docs.sparkSession
     folder = fresh_folder(spark, "collocations")
     slim = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("_lang"), F.col(text).cast("string").cast("binary").alias("_text"))
-    coded = _settled(_coded(slim, seed, shards), f"{folder}/coded")
+    coded = _settled(_coded(slim, seed, shards), f"{folder}/coded", FILE_ROWS)
     frequent = frequent_phrases(coded, folder, least, longest, shards, bits)
     single = frequent.where(F.octet_length("gram") == 8)
     # Words are spelled by reading the texts again: a table of all words of all blocks would be far larger than that of the frequent ones.

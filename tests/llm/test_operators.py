@@ -487,6 +487,30 @@ def test_phrases_let_through_early_are_counted_over_a_whole_cycle(spark, tmp_pat
     assert {bytes(r.gram): r.f for r in found.collect()} == {g: n for g, n in want.items() if n >= 10}
 
 
+def test_phrases_that_no_shard_holds_often_stay_out_of_the_state(spark, tmp_path, monkeypatch):
+    rng, rows, want, rare = random.Random(7), [], Counter(), []
+    words = [int(c) for c in collocations.mixed(np.arange(1, 41, dtype=np.uint64))]
+    for shard in range(4):
+        codes = []
+        for _ in range(200):  # pairs of frequent words, of which few come often
+            codes += (words[:3] if rng.random() < 0.1 else [rng.choice(words) for _ in range(3)]) + [0]
+        rows.append((shard, "x", len(codes), bytearray(np.array(codes, "<u8").tobytes())))
+        want.update(np.array(codes[i : i + k], "<u8").tobytes() for k in range(1, 4) for i in range(len(codes) - k + 1) if 0 not in codes[i : i + k])
+    settled = collocations._settled
+
+    def watched(df, path, *args):
+        out = settled(df, path, *args)
+        if "/state-" in path:
+            rare.append(out.where("octet_length(gram) > 8 and total < 3").count())
+        return out
+
+    monkeypatch.setattr(collocations, "_settled", watched)
+    coded = spark.createDataFrame(rows, "shard int, lang string, n_words long, body binary")
+    found = collocations.frequent_phrases(coded, str(tmp_path), least=10, longest=3, shards=4)
+    assert {bytes(r.gram): r.f for r in found.collect()} == {g: n for g, n in want.items() if n >= 10}
+    assert len(rare) > 4 and not any(rare)
+
+
 def test_scores_do_not_overflow(spark):
     big = 2_000_000_000_000
     grams = [(b"a" * 8, big, "x"), (b"b" * 8, big + 1, "x"), (b"a" * 8 + b"b" * 8, big - 7, "x")]
