@@ -302,10 +302,10 @@ def mine_phrases(
     # Words are spelled by reading the texts again: a table of all words of all blocks would be far larger than that of the frequent ones.
     wanted = np.zeros(1 << bits, bool)
     wanted[_slots_of(single.select("gram", F.lit(True).alias("fresh"), F.lit(0).alias("until")), bits)[0]] = True
-    named = _named(slim, seed, wanted).join(single.select("gram"), "gram", "left_semi")
-    spelled = named.groupBy("gram").agg(F.min(F.struct("lang", "word")).alias("w"), F.max(F.struct("lang", "word")).alias("other"))
-    spelled = _settled(spelled, f"{folder}/words")
-    if not spelled.where("w <> other").isEmpty():
+    # Grouped first, joined then: Spark would put a semi join before the grouping, where each task brings its own row of a word.
+    named = _named(slim, seed, wanted).groupBy("gram").agg(F.min(F.struct("lang", "word")).alias("w"), F.count("*").alias("n"))
+    spelled = _settled(named.join(single.select("gram"), "gram"), f"{folder}/words")
+    if not spelled.where("n > 1").isEmpty():
         return mine_phrases(docs, text, lang, least, longest, top, percent, shards, bits, seed + 1)
     words = spelled.select("gram", "w.lang", "w.word")
     totals = coded.groupBy("lang").agg(F.sum("n_words").alias("n"))

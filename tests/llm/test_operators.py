@@ -511,6 +511,56 @@ def test_phrases_that_no_shard_holds_often_stay_out_of_the_state(spark, tmp_path
     assert len(rare) > 4 and not any(rare)
 
 
+def plan_nodes(plan):
+    """The nodes of an executed plan, through what adaptive execution wraps."""
+    yield plan
+    kind = plan.getClass().getSimpleName()
+    inside = [plan.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [plan.plan()] if kind.endswith("QueryStageExec") else [plan.children().apply(i) for i in range(plan.children().size())]
+    for node in inside:
+        yield from plan_nodes(node)
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_a_word_is_joined_once_however_many_tasks_hold_it(spark, monkeypatch, broadcast):
+    made = []
+    settled = collocations._settled
+
+    def watched(df, path, *args):
+        if path.endswith("/words"):
+            held = [bytes(r.gram) for r in df.collect()]
+            joins = [n for n in plan_nodes(df._jdf.queryExecution().executedPlan()) if "Join" in n.nodeName()]
+            made.append((len(held), len(set(held)), [n.metrics().apply("numOutputRows").value() for n in joins]))
+        return settled(df, path, *args)
+
+    monkeypatch.setattr(collocations, "_settled", watched)
+    rows = [("de", f"one two three four. five seldom{i}") for i in range(48)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(16)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        found = collocations.mine_phrases(docs, least=9)
+        assert sorted(map(tuple, found.collect())) == brute.phrases(rows, 9)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert made == [(5, 5, [5])]
+
+
+def test_two_words_of_one_code_are_coded_anew(spark, monkeypatch):
+    seeds = []
+    named = collocations._named
+
+    def clashing(docs, seed, wanted):
+        seeds.append(seed)
+        out = named(docs, seed, wanted)
+        return out if seed else out.unionByName(out.withColumn("word", F.lit(b"other"))).distinct()
+
+    monkeypatch.setattr(collocations, "_named", clashing)
+    rows = [("de", "one two three. two three"), (None, "one two three")] * 9
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    assert sorted(map(tuple, collocations.mine_phrases(docs, least=9).collect())) == brute.phrases(rows, 9)
+    assert seeds == [0, 1]
+
+
 def test_scores_do_not_overflow(spark):
     big = 2_000_000_000_000
     grams = [(b"a" * 8, big, "x"), (b"b" * 8, big + 1, "x"), (b"a" * 8 + b"b" * 8, big - 7, "x")]
