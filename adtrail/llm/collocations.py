@@ -131,33 +131,47 @@ def lengthened(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 
 def slots(hashes: np.ndarray, bits: int = SLOT_BITS) -> np.ndarray:
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    return (hashes >> np.uint64(64 - bits)).view(np.int64)
 
 
 def active(codes: np.ndarray, step: int, shards: int, longest: int, early: np.ndarray, late: np.ndarray, counted: np.ndarray):
     """(length, places, hashes, whether active) of the phrases active at ``step`` or still counted; code 0 parts pieces."""
     bits = len(early).bit_length() - 1
-    at, hashes = np.flatnonzero(codes), codes[codes != 0]
+    at = np.flatnonzero(codes)
+    hashes = codes[at]
     if step < shards:
         yield 1, at, hashes, np.ones(len(at), bool)
     slot = slots(hashes, bits)
     for length in range(2, longest + 1):
-        reached = early[slot] < step
-        from_early = np.zeros(len(codes) + 1, bool)
-        from_late = np.zeros(len(codes) + 1, np.uint8)
-        from_early[at[reached]], from_late[at[reached]] = True, late[slot[reached]]
-        both = reached & from_early[at + 1]
-        at, hashes = at[both], hashes[both]
-        if not len(at):
+        reached = np.flatnonzero(early[slot] < step)
+        at, hashes, since = at[reached], hashes[reached], late[slot[reached]]
+        both = np.flatnonzero(at[1:] == at[:-1] + 1)  # a phrase's two parts stand at neighbouring places
+        if not len(both):
             return
-        hashes = lengthened(hashes, codes[at + length - 1])
+        since = np.maximum(since[both], since[both + 1])
+        at = at[both]
+        hashes = lengthened(hashes[both], codes[at + length - 1])
         slot = slots(hashes, bits)
-        fits = np.maximum(from_late[at], from_late[at + 1]).astype(np.int32) + shards >= step
+        fits = since.astype(np.int32) + shards >= step
         taken = fits | (counted[slot] >= step)
         if taken.any():
             yield length, at[taken], hashes[taken], fits[taken]
 
 
+def folded(codes: np.ndarray, length: int, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the phrases at ``at`` are the first of their words, and how often each of them stands there."""
+    number = pd.factorize(hashes)[0]
+    first = _first(number)
+    if length > 1:  # a word's hash is its code
+        again = np.ones(len(at), bool)
+        again[first] = False
+        again = np.flatnonzero(again)
+        here, there = at[again], at[first[number[again]]]
+        if any((codes[here + i] != codes[there + i]).any() for i in range(length)):  # two phrases of one hash: by their words
+            _, first, number = np.unique(codes[at[:, None] + np.arange(length)], axis=0, return_index=True, return_inverse=True)
+    return first, np.bincount(number.ravel(), minlength=len(first))
+
+
 def _scanned(bodies: DataFrame, step: int, shards: int, longest: int, early: np.ndarray, late: np.ndarray, counted: np.ndarray) -> DataFrame:
     """(gram, n, fits): phrases counted in one scan, folded over blocks of texts, and whether they are active."""
 
@@ -166,15 +180,9 @@ def _scanned(bodies: DataFrame, step: int, shards: int, longest: int, early: np.
             for start, end in blocks(batch, "body"):
                 codes = np.frombuffer(b"".join(batch.column("body").slice(start, end - start).to_pylist()), "<u8")
                 for length, at, hashes, fits in active(codes, step, shards, longest, early, late, counted):
-                    rows = codes[at[:, None] + np.arange(length)]
-                    number = pd.factorize(hashes)[0]
-                    first = _first(number)
-                    if (rows != rows[first][number]).any():  # two phrases of one hash: by their words
-                        _, first, number = np.unique(rows, axis=0, return_index=True, return_inverse=True)
-                        number = number.ravel()
-                    yield pa.RecordBatch.from_arrays(
-                        [_binary(rows[first]), pa.array(np.bincount(number, minlength=len(first)).astype(np.int64)), pa.array(fits[first])], names=["gram", "n", "fits"]
-                    )
+                    first, counts = folded(codes, length, at, hashes)
+                    rows = codes[at[first][:, None] + np.arange(length)]
+                    yield pa.RecordBatch.from_arrays([_binary(rows), pa.array(counts.astype(np.int64)), pa.array(fits[first])], names=["gram", "n", "fits"])
 
     return bodies.mapInArrow(run, "gram binary, n bigint, fits boolean")
 

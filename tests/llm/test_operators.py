@@ -561,6 +561,54 @@ def test_two_words_of_one_code_are_coded_anew(spark, monkeypatch):
     assert seeds == [0, 1]
 
 
+@pytest.mark.parametrize("values", [1, 3, 2**40])
+def test_places_of_a_block_are_folded_by_words_whatever_the_hashes(values):
+    rng = np.random.default_rng(values)
+    codes = rng.integers(0, 6, 500).astype(np.uint64)
+    for length in range(2, 6):
+        at = np.array([i for i in range(len(codes) - length + 1) if codes[i : i + length].all()])
+        phrases = [tuple(codes[i : i + length].tolist()) for i in at]
+        hashes = np.array([hash(p) % values for p in phrases], np.uint64)
+        first, counts = collocations.folded(codes, length, at, hashes)
+        assert len(first) == len(set(phrases)) and dict(zip((phrases[i] for i in first), counts.tolist())) == Counter(phrases)
+
+
+@pytest.mark.parametrize("bits", [2, 5])
+def test_active_places_are_those_by_definition(bits):
+    rng = np.random.default_rng(bits)
+    seen = 0
+    for _ in range(100):
+        words = np.append(collocations.mixed(rng.integers(1, 2**62, 12).astype(np.uint64)), np.uint64(0))
+        codes = words[rng.integers(0, len(words), 60)]
+        early, late, counted = (rng.choice(x, 1 << bits).astype(np.uint8) for x in ([collocations.NEVER, 0, 2, 5], range(9), range(9)))
+        step, shards = int(rng.integers(0, 12)), int(rng.integers(1, 5))
+
+        def phrase(i, length):
+            part = codes[i : i + length]
+            if len(part) < length or not part.all():
+                return None
+            h = part[:1]
+            for k in range(1, length):
+                h = collocations.lengthened(h, part[k : k + 1])
+            return int(collocations.slots(h, bits)[0]), int(h[0])
+
+        def stands(i, length):  # both parts stand and are reached
+            return phrase(i, length) is not None and (length == 1 or all(stands(j, length - 1) and early[phrase(j, length - 1)[0]] < step for j in (i, i + 1)))
+
+        want = [(1, i, phrase(i, 1)[1], True) for i in range(60) if step < shards and phrase(i, 1)]
+        for length in range(2, 6):
+            for i in range(60):
+                if stands(i, length):
+                    slot, h = phrase(i, length)
+                    fits = max(int(late[phrase(j, length - 1)[0]]) for j in (i, i + 1)) + shards >= step
+                    if fits or counted[slot] >= step:
+                        want.append((length, i, h, fits))
+        found = [(length, *row) for length, *columns in collocations.active(codes, step, shards, 5, early, late, counted) for row in zip(*(c.tolist() for c in columns))]
+        assert found == want
+        seen += len(found)
+    assert seen > 1000
+
+
 def test_scores_do_not_overflow(spark):
     big = 2_000_000_000_000
     grams = [(b"a" * 8, big, "x"), (b"b" * 8, big + 1, "x"), (b"a" * 8 + b"b" * 8, big - 7, "x")]
